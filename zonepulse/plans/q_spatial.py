@@ -1,3 +1,80 @@
-"""Queries."""
+"""Queries for spatial clustering on the ``hubs`` view (rows 65-69)."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import spatial as SP
+from ..sources.tables import load_view
+from .registry import register
+
+# known DBSCAN answer: hubs numbered by their smallest non-noise record id, noise -1
+DBSCAN_TRUTH = """(SELECT h.record_id, h.latitude, h.longitude,
+   CASE WHEN h.is_noise THEN -1 ELSE CAST(r.rk - 1 AS INTEGER) END AS cluster_id
+ FROM hubs h LEFT JOIN (SELECT hub, dense_rank() OVER (ORDER BY min(record_id)) AS rk
+                        FROM hubs WHERE NOT is_noise GROUP BY hub) r ON h.hub = r.hub)"""
+
+
+def _hubs(spark, sf):
+    return load_view(spark, sf, "hubs")
+
+
+@register("cluster_kmeans", "SELECT record_id, hub AS cluster_id FROM hubs WHERE NOT is_noise",
+          ("hubs",))
+def cluster_kmeans(spark, sf):
+    df = _hubs(spark, sf).filter(~F.col("is_noise")).select("record_id", "latitude", "longitude")
+    out, _ = SP.kmeans(df, 5)
+    return out.select("record_id", "cluster_id")
+
+
+@register("cluster_auto_k")
+def cluster_auto_k(spark, sf):
+    df = _hubs(spark, sf).filter(~F.col("is_noise")).select("record_id", "latitude", "longitude")
+    return SP.auto_k(df, max_clusters=20)
+
+
+_SIL = """
+WITH p AS (SELECT cluster_id AS c, latitude AS x, longitude AS y, row_number() OVER () AS i
+           FROM {src} WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+s AS (SELECT c, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x*x + y*y) AS sq FROM p GROUP BY c),
+d AS (SELECT p.i, p.c AS pc, s.c AS sc, s.n,
+             (p.x*p.x + p.y*p.y) - 2*(p.x*s.sx + p.y*s.sy)/s.n + s.sq/s.n AS md
+      FROM p CROSS JOIN s),
+ab AS (SELECT i, max(CASE WHEN sc = pc THEN n END) AS n_own,
+              max(CASE WHEN sc = pc AND n > 1 THEN md * n / (n - 1) END) AS a,
+              min(CASE WHEN sc <> pc THEN md END) AS b
+       FROM d GROUP BY i)
+SELECT round(avg(CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1 - a/b WHEN a > b THEN b/a - 1
+                      ELSE 0.0 END), 6) AS silhouette FROM ab"""
+
+HUB_LABELS = ("(SELECT CASE WHEN is_noise THEN -1 ELSE hub END AS cluster_id, latitude, longitude "
+              "FROM hubs)")
+
+
+@register("cluster_silhouette", _SIL.format(src=HUB_LABELS), ("hubs",))
+def cluster_silhouette(spark, sf):
+    df = _hubs(spark, sf).select(
+        F.when(F.col("is_noise"), F.lit(-1)).otherwise(F.col("hub")).alias("cluster_id"),
+        "latitude", "longitude")
+    return SP.silhouette(df).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("cluster_dbscan", f"SELECT record_id, cluster_id FROM {DBSCAN_TRUTH}", ("hubs",))
+def cluster_dbscan(spark, sf):
+    df = _hubs(spark, sf).select("record_id", "latitude", "longitude")
+    return SP.dbscan(df, 0.01, 5).select("record_id", "cluster_id")
+
+
+@register("cluster_metadata", f"""
+WITH t AS {DBSCAN_TRUTH},
+sil AS ({_SIL.format(src='t')})
+SELECT 'dbscan' AS method, cluster_id, CAST(count(*) AS BIGINT) AS n,
+  round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
+  CAST(count(*) OVER () AS BIGINT) AS n_clusters, (SELECT silhouette FROM sil) AS silhouette
+FROM t WHERE cluster_id <> -1 GROUP BY cluster_id""", ("hubs",))
+def cluster_metadata(spark, sf):
+    df = _hubs(spark, sf).select("record_id", "latitude", "longitude")
+    out, meta = SP.cluster(df, method="dbscan")
+    return meta.select("method", "cluster_id", "n", F.round("center_lat", 6).alias("center_lat"),
+                       F.round("center_lon", 6).alias("center_lon"), "n_clusters",
+                       F.round("silhouette", 6).alias("silhouette"))
