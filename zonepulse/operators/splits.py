@@ -143,3 +143,27 @@ def fold_stratified(df: DataFrame, k: int = 5, label_col: str = "target",
 def pick_split(df: DataFrame, name: str, split_col: str = "split") -> DataFrame:
     """Row 30: rows of one split (a filter on the split column; no join)."""
     return df.filter(F.col(split_col) == name)
+
+
+def rank_rows(df: DataFrame, time_col: str, id_col: str, out: str = "position",
+              ranges: int | None = None) -> DataFrame:
+    """0-based position in (time, id) order without a single-partition window.
+
+    Range-partition on the total order (sampled bounds keep ranges balanced,
+    and the unique id splits even a hot timestamp), count each range, turn the
+    counts into offsets (one row per range: broadcast), number rows inside
+    each range.
+    """
+    from ..session import materialize
+    spark = df.sparkSession
+    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written once: the range of every row must be the same for the counts and the numbering
+    ranged = materialize(df.repartitionByRange(n_ranges, time_col, id_col).withColumn(
+        "_rng", F.spark_partition_id()))
+    counts = ranged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_c"))
+    wo = Window.partitionBy().orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_rng", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_rng").orderBy(time_col, id_col)
+    return (ranged.join(F.broadcast(offs), "_rng")
+                  .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
+                  .drop("_rng", "_off"))

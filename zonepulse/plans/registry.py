@@ -33,4 +33,4 @@ def register(key: str, sql: str | None = None, views: tuple[str, ...] = ()):
 def load_all() -> None:
     """Import every query module so that the registry is filled."""
     from . import (q_calendar, q_clean, q_metrics, q_models, q_pipes,  # noqa: F401
-                   q_prep, q_spatial, q_summaries, q_windows)
+                   q_prep, q_sources, q_spatial, q_summaries, q_windows)
