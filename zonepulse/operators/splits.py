@@ -14,6 +14,8 @@ No global window over the rows:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,12 @@ def kth_key(df: DataFrame, k: int, key_col: str, id_col: str, max_rows: int = 1
     cand = df.select(F.col(key_col).alias("_k"), F.col(id_col).alias("_i")).filter(
         F.col("_k").isNotNull())
     level = "_k"
+    qs = [j / buckets for j in range(1, buckets)]
     for _ in range(64):
+        # one pass: size, value range and bucket bounds of the remaining candidates
         stats = cand.agg(F.count(F.lit(1)).alias("n"), F.min(level).alias("lo"),
-                         F.max(level).alias("hi")).first()
+                         F.max(level).alias("hi"),
+                         F.percentile_approx(level, qs, 10 * buckets).alias("b")).first()
         n = stats["n"]
         if k > n:
             return None
@@ -56,13 +61,14 @@ def kth_key(df: DataFrame, k: int, key_col: str, id_col: str, max_rows: int = 1
                 raise ValueError("duplicate (key, id) pairs")
             level = "_i"
             continue
-        qs = [j / buckets for j in range(1, buckets)]
-        bounds = cand.agg(F.percentile_approx(level, qs, 10 * buckets).alias("b")).first()["b"]
-        bounds = sorted(set(b for b in bounds if stats["lo"] < b <= stats["hi"]))
-        # bucket j holds values in [bounds[j-1], bounds[j]); computed JVM-side
-        edges = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.size(F.filter(edges, lambda e: e <= F.col(level)))
-        hist = sorted(tuple(r) for r in cand.groupBy(bucket.alias("b")).count().collect())
+        bounds = sorted(set(b for b in stats["b"] if stats["lo"] < b <= stats["hi"]))
+        # bucket j holds values in [bounds[j-1], bounds[j]): a compiled binary search
+        # (keys are integers below 2**53, exact as doubles)
+        from pyspark.ml.feature import Bucketizer
+        bz = Bucketizer(splits=[-math.inf] + [float(b) for b in bounds] + [math.inf],
+                        inputCol="_kd", outputCol="b")
+        keyed = bz.transform(cand.withColumn("_kd", F.col(level).cast("double")))
+        hist = sorted((int(r["b"]), r["count"]) for r in keyed.groupBy("b").count().collect())
         before = 0
         for b, c in hist:
             if before + c >= k:
