@@ -98,19 +98,26 @@ def cluster_month_pivot(df: DataFrame, cluster_col: str = "cluster_id",
                                      for m in months])
 
 
+def exact_avg(c) -> Column:
+    """Mean with an exact (decimal) sum: independent of summation order, so the result is
+    the same however the rows are partitioned."""
+    return F.avg(F.col(c).cast("decimal(38,15)")).cast("double")
+
+
 def cluster_summary(df: DataFrame, cluster_col: str = "cluster_id", lat="latitude",
-                    lon="longitude") -> DataFrame:
+                    lon="longitude", exact: bool = False) -> DataFrame:
     """Rows 28 + 42: mean centre and size per cluster (the reference's merge of two groupbys)."""
     clean = df.dropna(subset=[lat, lon, cluster_col])
-    return clean.groupBy(cluster_col).agg(F.avg(lat).alias("center_lat"),
-                                          F.avg(lon).alias("center_lon"),
+    mean = exact_avg if exact else F.avg
+    return clean.groupBy(cluster_col).agg(mean(lat).alias("center_lat"),
+                                          mean(lon).alias("center_lon"),
                                           _count().alias("n"))
 
 
 def cluster_centers_top(df: DataFrame, k: int = 10, cluster_col: str = "cluster_id",
-                        lat="latitude", lon="longitude") -> DataFrame:
+                        lat="latitude", lon="longitude", exact: bool = False) -> DataFrame:
     """Row 42: centres rounded to 4 places, first ``k`` clusters by id (top-k plan)."""
-    s = cluster_summary(df, cluster_col, lat, lon)
+    s = cluster_summary(df, cluster_col, lat, lon, exact)
     return (s.select(cluster_col, F.round("center_lat", 4).alias("center_lat"),
                      F.round("center_lon", 4).alias("center_lon"), "n")
              .orderBy(cluster_col).limit(k))

@@ -69,12 +69,13 @@ def cluster_dbscan(spark, sf):
 WITH t AS {DBSCAN_TRUTH},
 sil AS ({_SIL.format(src='t')})
 SELECT 'dbscan' AS method, cluster_id, CAST(count(*) AS BIGINT) AS n,
-  round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
+  round(CAST(avg(CAST(latitude AS DECIMAL(38,15))) AS DOUBLE), 6) AS center_lat,
+  round(CAST(avg(CAST(longitude AS DECIMAL(38,15))) AS DOUBLE), 6) AS center_lon,
   CAST(count(*) OVER () AS BIGINT) AS n_clusters, (SELECT silhouette FROM sil) AS silhouette
 FROM t WHERE cluster_id <> -1 GROUP BY cluster_id""", ("hubs",))
 def cluster_metadata(spark, sf):
     df = _hubs(spark, sf).select("record_id", "latitude", "longitude")
-    out, meta = SP.cluster(df, method="dbscan")
+    out, meta = SP.cluster(df, method="dbscan", exact=True)
     return meta.select("method", "cluster_id", "n", F.round("center_lat", 6).alias("center_lat"),
                        F.round("center_lon", 6).alias("center_lon"), "n_clusters",
                        F.round("silhouette", 6).alias("silhouette"))

@@ -102,22 +102,24 @@ def agg_cluster_month_pivot(spark, sf):
 
 
 @register("join_cluster_summary", f"""
-SELECT cluster_id, round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
+SELECT cluster_id, round(CAST(avg(CAST(latitude AS DECIMAL(38,15))) AS DOUBLE), 6) AS center_lat,
+  round(CAST(avg(CAST(longitude AS DECIMAL(38,15))) AS DOUBLE), 6) AS center_lon,
   CAST(count(*) AS BIGINT) AS n
 FROM {OUT_C} WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND cluster_id IS NOT NULL
 GROUP BY cluster_id""", ("outages",))
 def join_cluster_summary(spark, sf):
-    s = S.cluster_summary(_outages_c(spark, sf))
+    s = S.cluster_summary(_outages_c(spark, sf), exact=True)
     return s.withColumns({"center_lat": F.round("center_lat", 6), "center_lon": F.round("center_lon", 6)})
 
 
 @register("agg_cluster_centers", f"""
-SELECT cluster_id, round(avg(latitude), 4) AS center_lat, round(avg(longitude), 4) AS center_lon,
+SELECT cluster_id, round(CAST(avg(CAST(latitude AS DECIMAL(38,15))) AS DOUBLE), 4) AS center_lat,
+  round(CAST(avg(CAST(longitude AS DECIMAL(38,15))) AS DOUBLE), 4) AS center_lon,
   CAST(count(*) AS BIGINT) AS n
 FROM {OUT_C} WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND cluster_id IS NOT NULL
 GROUP BY cluster_id ORDER BY cluster_id LIMIT 10""", ("outages",))
 def agg_cluster_centers(spark, sf):
-    return S.cluster_centers_top(_outages_c(spark, sf), 10)
+    return S.cluster_centers_top(_outages_c(spark, sf), 10, exact=True)
 
 
 @register("agg_map_points", f"""

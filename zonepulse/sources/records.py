@@ -68,8 +68,10 @@ def scan_flatten_validate(spark: SparkSession, path: str, fmt: str = "json_array
         if bad:
             raise ValueError("Invalid JSON format: expected a JSON array of records")
         elems = arr.select(F.posexplode("a").alias("record_id", "e"))
+        # only JSON objects are records; any other element (string, number, array) is malformed
+        is_obj = F.substring(F.ltrim("e"), 1, 1) == F.lit("{")
         parsed = elems.select(F.col("record_id").cast("bigint").alias("record_id"),
-                              F.from_json("e", RECORD_SCHEMA).alias("r"))
+                              F.when(is_obj, F.from_json("e", RECORD_SCHEMA)).alias("r"))
     else:
         raw = scan_json_array(spark, path, fmt)
         parsed = raw.select(F.col("record_id"), F.struct(*raw.columns).alias("r"))
