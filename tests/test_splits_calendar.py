@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from zonepulse.functions import calendar as cal
@@ -62,3 +64,13 @@ def test_calendar_edges(spark):
     assert cal.temporal_features_b(df, "missing").columns == df.columns
     t = spark.createDataFrame([("long_rains",)], "s string").select(cal.title_case("s")).first()[0]
     assert t == "Long_Rains"
+
+
+def test_exact_quantile_matches_interpolated_percentile(spark):
+    import numpy as np
+    rnd = random.Random(2)
+    vals = [rnd.choice([1.0, 2.0, 2.0, 7.0]) + rnd.random() * (i % 4) for i in range(2001)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
+    for q in (0.5, 0.1, 0.75):
+        assert splits.exact_quantile(df, "x", q) == pytest.approx(float(np.quantile(vals, q)))
+    assert splits.kth_value(df, "x", 1000, max_rows=40, buckets=8) == sorted(vals)[999]

@@ -173,3 +173,59 @@ def rank_rows(df: DataFrame, time_col: str, id_col: str, out: str = "position",
     return (ranged.join(F.broadcast(offs), "_rng")
                   .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
                   .drop("_rng", "_off"))
+
+
+def kth_value(df: DataFrame, col: str, k: int, max_rows: int = 1 << 20,
+              buckets: int = 256):
+    """The k-th smallest non-null value of ``col`` (1-based), by histogram refinement.
+
+    Same plan as :func:`kth_key` but on the value alone (ties need no id).
+    """
+    cand = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    qs = [j / buckets for j in range(1, buckets)]
+    for _ in range(64):
+        st = cand.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                      F.max("_v").alias("hi"),
+                      F.percentile_approx("_v", qs, 10 * buckets).alias("b")).first()
+        if k < 1 or k > st["n"]:
+            return None
+        if st["lo"] == st["hi"]:
+            return st["lo"]
+        if st["n"] <= max_rows:
+            w = Window.partitionBy().orderBy("_v")  # over at most max_rows rows
+            return cand.withColumn("_r", F.row_number().over(w)).filter(
+                F.col("_r") == k).first()["_v"]
+        bounds = sorted(set(b for b in st["b"] if st["lo"] < b <= st["hi"]))
+        from pyspark.ml.feature import Bucketizer
+        bz = Bucketizer(splits=[-math.inf] + [float(b) for b in bounds] + [math.inf],
+                        inputCol="_vd", outputCol="b")
+        hist = sorted((int(r["b"]), r["count"]) for r in bz.transform(
+            cand.withColumn("_vd", F.col("_v").cast("double"))).groupBy("b").count().collect())
+        before = 0
+        for b, c in hist:
+            if before + c >= k:
+                cond = F.lit(True)
+                if b > 0:
+                    cond = cond & (F.col("_v") >= F.lit(bounds[b - 1]))
+                if b < len(bounds):
+                    cond = cond & (F.col("_v") < F.lit(bounds[b]))
+                cand = cand.filter(cond)
+                k -= before
+                break
+            before += c
+    raise RuntimeError("selection did not converge")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5):
+    """Exact quantile with linear interpolation (as SQL ``percentile`` / ``quantile_cont``),
+    without gathering the column's values into one task."""
+    n = df.filter(F.col(col).isNotNull()).count()
+    if n == 0:
+        return None
+    pos = (n - 1) * q
+    lo = int(math.floor(pos))
+    v_lo = kth_value(df, col, lo + 1)
+    if pos == lo:
+        return float(v_lo)
+    v_hi = kth_value(df, col, lo + 2)
+    return float(v_lo) + (float(v_hi) - float(v_lo)) * (pos - lo)
