@@ -71,3 +71,32 @@ def sink_json(spark, sf):
                                                 "longitude")
     sinks.sink_json(df, path)
     return spark.read.schema(df.schema).json(path)
+
+
+@register("scan_json_array", """
+SELECT record_id, 'id_' || CAST(record_id AS VARCHAR) AS _id, area, latitude, longitude,
+  strftime(datetime, '%Y-%m-%dT%H:%M:%S.%fZ') AS isoDate,
+  CAST(floor(epoch_us(datetime) / 1000000.0) AS BIGINT) AS dateInSeconds
+FROM outages""", ("outages",))
+def scan_json_array(spark, sf):
+    path = _tmp(spark, "records-jsonl")
+    _raw_records(spark, sf).write.json(path)
+    df = R.scan_json_array(spark, path, "json_lines")
+    return df.select("record_id", "_id", "area", F.col("coordinates.latitude").alias("latitude"),
+                     F.col("coordinates.longitude").alias("longitude"), "isoDate", "dateInSeconds")
+
+
+@register("model_save_load")
+def model_save_load(spark, sf):
+    """Fit, save (model + metadata), load back, predict with the loaded model."""
+    from ..operators import models as ML
+    from .q_models import _data
+    data, names = _data(spark, sf)
+    m = ML.fit(data.filter(F.col("split") == "train"), "random_forest")
+    path = _tmp(spark, "model")
+    sinks.save_model(m, path, {"model_name": "random_forest_baseline",
+                               "model_type": "random_forest", "feature_names": names})
+    loaded, meta = sinks.load_model(path)
+    assert meta["feature_names"] == names
+    return ML.predict(loaded, data.filter(F.col("split") == "test")).select(
+        "record_id", "label", "p1", "pred")
