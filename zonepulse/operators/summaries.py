@@ -78,14 +78,13 @@ def year_quarter_counts(df: DataFrame, time_col: str = "datetime") -> DataFrame:
 def cluster_counts(df: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
     """Row 40: per cluster (ordered by id), with number of clusters, largest and smallest.
 
-    The grouped table has one row per cluster (k is small), so the global
-    window over it is cheap.
     """
     per = df.groupBy(cluster_col).agg(_count().alias("n"))
-    w = Window.partitionBy()
-    return per.withColumns({"n_clusters": F.count(F.lit(1)).over(w),
-                            "largest": F.max("n").over(w),
-                            "smallest": F.min("n").over(w)}).orderBy(cluster_col)
+    # totals as one row (a tree aggregate), attached by an equi-join on a constant key
+    tot = per.agg(F.count(F.lit(1)).alias("n_clusters"), F.max("n").alias("largest"),
+                  F.min("n").alias("smallest")).withColumn("_one", F.lit(1))
+    return (per.withColumn("_one", F.lit(1)).join(F.broadcast(tot), "_one").drop("_one")
+               .orderBy(cluster_col))
 
 
 def cluster_month_pivot(df: DataFrame, cluster_col: str = "cluster_id",

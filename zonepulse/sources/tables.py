@@ -57,6 +57,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # day numbers and calendar fields are defined on UTC instants
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
