@@ -141,3 +141,9 @@ def test_rate_columns(spark):
     assert out[-1]["cluster_outage_rate_7d"] == pytest.approx(1.0)
     assert out[0]["days_since_last_outage"] == 999
     assert F is not None
+
+
+def test_null_zone_is_one_zone(spark):
+    rows = [(1, None, T0), (2, None, T0 + DAY + dt.timedelta(hours=2)), (3, 1, T0 + 2 * DAY),
+            (4, None, T0 + 3 * DAY)]
+    check(spark, rows)

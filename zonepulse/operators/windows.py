@@ -42,15 +42,16 @@ def _n(name: str) -> str:
     return _P + name
 
 
-def _safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Equi-join that treats null zone keys as equal (null-safe) and keeps left's key columns."""
-    r = right.select(*[F.col(k).alias(k + "_r") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(k + "_r"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[k + "_r" for k in keys])
+def _zone_key(df: DataFrame, zone_col: str) -> Column:
+    """Non-null internal zone key (null zones form one zone of their own).
+
+    Plain equi-joins on this key keep the big side's hash partitioning, which a
+    null-safe join (rewritten by Spark to coalesce / isnull keys) would not.
+    """
+    t = dict(df.dtypes)[zone_col]
+    if t in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(F.col(zone_col).cast("bigint"), F.lit(-(1 << 63)))
+    return F.coalesce(F.col(zone_col).cast("string"), F.lit("\u0000null"))
 
 
 def zone_window_features(
@@ -82,10 +83,10 @@ def zone_window_features(
     """
     if DAY_US % slot_us:
         raise ValueError("slot_us must divide a day")
-    z, i = zone_col, id_col
-    US, SLOT, DAY, KIND = _n("us"), _n("slot"), _n("day"), _n("kind")
-    base = df.filter(F.col(time_col).isNotNull()).withColumn(
-        US, F.unix_micros(F.col(time_col).cast("timestamp")))
+    i = id_col
+    Z, US, SLOT, DAY, KIND = _n("z"), _n("us"), _n("slot"), _n("day"), _n("kind")
+    base = df.filter(F.col(time_col).isNotNull()).withColumns({
+        US: F.unix_micros(F.col(time_col).cast("timestamp")), Z: _zone_key(df, zone_col)})
 
     shift_days = sorted(set(rolling_days) | ({count_before_days} if count_before_days else set()))
     shift_cols = {w: _n(f"s{w}") for w in shift_days}
@@ -97,13 +98,13 @@ def zone_window_features(
                              **{c: F.lit(0) for c in shift_cols.values()}})
     u = real
     for w, c in shift_cols.items():
-        sh = base.select(z, i, (F.col(US) + F.lit(w * DAY_US)).alias(US))
+        sh = base.select(Z, i, (F.col(US) + F.lit(w * DAY_US)).alias(US))
         sh = sh.withColumns({SLOT: slot_of(F.col(US)), KIND: F.lit(0), _n("r"): F.lit(0),
                              **{cc: F.lit(1 if cc == c else 0) for cc in shift_cols.values()}})
         u = u.unionByName(sh, allowMissingColumns=True)
 
-    # ---- event-level window inside (zone, slot) -------------------------------------
-    part = Window.partitionBy(z, SLOT)
+    # ---- event-level window inside (zone, slot): the one shuffle of the big side ----------
+    part = Window.partitionBy(Z, SLOT)
     w_rows = part.orderBy(US, KIND, i).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_prev = part.orderBy(US, KIND, i).rowsBetween(Window.unboundedPreceding, -1)
     w_lt = part.orderBy(US).rangeBetween(Window.unboundedPreceding, -1)
@@ -122,50 +123,54 @@ def zone_window_features(
         ev_cols[_n("prevrow_in")] = F.max(real_us).over(w_prev)
     ev = u.withColumns(ev_cols).filter(r == 1)
 
-    # ---- slot ledger: per-zone running totals in slot order -------------------------
+    # ---- slot ledger (map-side partial aggregation): one row per zone and slot -------------
     aggs = [F.sum(r).alias(_n("n_r")), F.max(real_us).alias(_n("max_us")),
             F.min(real_us).alias(_n("min_us"))]
     aggs += [F.sum(c).alias(c + "_n") for c in shift_cols.values()]
-    sl = u.groupBy(z, SLOT).agg(*aggs)
-    zs = Window.partitionBy(z).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    sl_cols = {_n("cum_r"): F.coalesce(F.sum(_n("n_r")).over(zs), F.lit(0)),
-               _n("prev_slot_max"): F.max(_n("max_us")).over(zs)}
+    sl = u.groupBy(Z, SLOT).agg(*aggs)
+    zs = Window.partitionBy(Z).orderBy(SLOT)
+    zs_before = zs.rowsBetween(Window.unboundedPreceding, -1)
+    sl_cols = {_n("cum_r"): F.coalesce(F.sum(_n("n_r")).over(zs_before), F.lit(0)),
+               _n("prev_slot_max"): F.max(_n("max_us")).over(zs_before)}
     for c in shift_cols.values():
-        sl_cols[c + "_cum"] = F.coalesce(F.sum(c + "_n").over(zs), F.lit(0))
+        sl_cols[c + "_cum"] = F.coalesce(F.sum(c + "_n").over(zs_before), F.lit(0))
     sl = sl.withColumns(sl_cols).filter(F.col(_n("n_r")) > 0)
 
-    # ---- day ledger: distinct-day counts with RANGE frames on the day number ---------
+    # ---- day-level frames on the same ledger: RANGE over the integer day number ----------
+    # an active day is counted once through its first active slot
     need_days = bool(lookback_days) or future is not None or any_within_days is not None
+    horizons = []
+    if future is not None:
+        horizons.append(("f", future[0], future[1]))
+    if any_within_days is not None:
+        horizons.append(("a", any_within_days, 0))
     if need_days:
         sl = sl.withColumn(DAY, F.floor(F.col(SLOT) * F.lit(slot_us) / F.lit(DAY_US)).cast("bigint"))
-        dl = sl.groupBy(z, DAY).agg(F.min(_n("min_us")).alias(_n("dmin")),
-                                    F.max(_n("max_us")).alias(_n("dmax")))
-        zd = Window.partitionBy(z).orderBy(DAY)
+        sl = sl.withColumn(_n("first"), F.coalesce(
+            (F.lag(DAY).over(zs) != F.col(DAY)).cast("int"), F.lit(1)))
+        zd = Window.partitionBy(Z).orderBy(DAY)
 
         def frame(lo: int, hi: int) -> Window:
             return zd.rangeBetween(lo, hi)
 
-        dcols = {}
+        days = F.col(_n("first"))
+        dcols = {_n("dmin"): F.min(_n("min_us")).over(frame(0, 0))}
         for d in lookback_days:
-            dcols[_n(f"pfull{d}")] = (F.count(F.lit(1)).over(frame(-(d - 1), -1)) if d >= 2
-                                      else F.lit(0))
-            dcols[_n(f"pmax{d}")] = F.max(_n("dmax")).over(frame(-d, -d))
-        horizons = []
-        if future is not None:
-            horizons.append(("f", future[0], future[1]))
-        if any_within_days is not None:
-            horizons.append(("a", any_within_days, 0))
+            dcols[_n(f"pfull{d}")] = (F.coalesce(F.sum(days).over(frame(-(d - 1), -1)), F.lit(0))
+                                      if d >= 2 else F.lit(0))
+            dcols[_n(f"pmax{d}")] = F.max(_n("max_us")).over(frame(-d, -d))
         for tag, n_days, g in horizons:
             if n_days > g:
-                dcols[_n(f"{tag}full")] = (F.count(F.lit(1)).over(frame(g + 1, n_days - 1))
-                                           if n_days - 1 >= g + 1 else F.lit(0))
-                dcols[_n(f"{tag}gmax")] = F.max(_n("dmax")).over(frame(g, g))
-                dcols[_n(f"{tag}nmin")] = F.min(_n("dmin")).over(frame(n_days, n_days))
-        dl = dl.withColumns(dcols)
-        sl = _safe_join(sl, dl, [z, DAY], "left")
+                dcols[_n(f"{tag}full")] = (
+                    F.coalesce(F.sum(days).over(frame(g + 1, n_days - 1)), F.lit(0))
+                    if n_days - 1 >= g + 1 else F.lit(0))
+                dcols[_n(f"{tag}gmax")] = F.max(_n("max_us")).over(frame(g, g))
+                dcols[_n(f"{tag}nmin")] = F.min(_n("min_us")).over(frame(n_days, n_days))
+        sl = sl.withColumns(dcols)
 
-    out = _safe_join(ev, sl.drop(_n("n_r"), _n("max_us"), _n("min_us"),
-                                 *[c + "_n" for c in shift_cols.values()]), [z, SLOT], "left")
+    # join back on (zone, slot): the big side is already partitioned on exactly these keys
+    out = ev.join(sl.drop(_n("n_r"), _n("max_us"), _n("min_us"),
+                          *[c + "_n" for c in shift_cols.values()]), [Z, SLOT], "left")
 
     t = F.col(US)
     new = {}
@@ -184,7 +189,7 @@ def zone_window_features(
             + F.coalesce((F.col(_n(f"pmax{d}")) >= t - F.lit(d * DAY_US)).cast("int"), F.lit(0))
             + (F.col(_n("dmin")) < t).cast("int")
         ).cast("bigint")
-    for tag, n_days, g in (horizons if need_days else []):
+    for tag, n_days, g in horizons:
         name = "future_days" if tag == "f" else "any_next"
         if n_days > g:
             val = (F.col(_n(f"{tag}full"))
@@ -203,14 +208,14 @@ def zone_window_features(
     if rolling_lag and rolling_days:
         # previous row's count: inside the slot a plain lag; for the first row of a
         # slot, the last row of the previous active slot (slot ledger, lagged)
-        wl = Window.partitionBy(z, SLOT).orderBy(US, i)
+        wl = Window.partitionBy(Z, SLOT).orderBy(US, i)
         out = out.withColumns({f"lag_cnt_{w}d": F.lag(f"cnt_{w}d").over(wl) for w in rolling_days})
-        last = out.groupBy(z, SLOT).agg(*[
+        last = out.groupBy(Z, SLOT).agg(*[
             F.max_by(f"cnt_{w}d", F.struct(US, i)).alias(_n(f"last{w}")) for w in rolling_days])
-        zl = Window.partitionBy(z).orderBy(SLOT)
-        last = last.select(z, SLOT, *[F.lag(_n(f"last{w}")).over(zl).alias(_n(f"plast{w}"))
+        zl = Window.partitionBy(Z).orderBy(SLOT)
+        last = last.select(Z, SLOT, *[F.lag(_n(f"last{w}")).over(zl).alias(_n(f"plast{w}"))
                                       for w in rolling_days])
-        out = _safe_join(out, last, [z, SLOT], "left").withColumns({
+        out = out.join(last, [Z, SLOT], "left").withColumns({
             f"lag_cnt_{w}d": F.coalesce(F.col(f"lag_cnt_{w}d"), F.col(_n(f"plast{w}")))
             for w in rolling_days})
 
