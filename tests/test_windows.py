@@ -147,3 +147,13 @@ def test_null_zone_is_one_zone(spark):
     rows = [(1, None, T0), (2, None, T0 + DAY + dt.timedelta(hours=2)), (3, 1, T0 + 2 * DAY),
             (4, None, T0 + 3 * DAY)]
     check(spark, rows)
+
+
+def test_slot_choice_splits_a_burst(spark):
+    # 50 events of one zone inside one hour: with a budget of 10 rows per task the
+    # hour is too coarse and minute slots are chosen; answers do not change
+    rows = [(i, 7, T0 + dt.timedelta(seconds=37 * i)) for i in range(50)] + [(99, 8, T0)]
+    df = make_df(spark, rows)
+    assert W.choose_slot(df, "cluster_id", "datetime", max_rows=10) == 60_000_000
+    assert W.choose_slot(df, "cluster_id", "datetime") == W.HOUR_US
+    check(spark, rows, slot_us=60_000_000)

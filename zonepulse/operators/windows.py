@@ -33,6 +33,9 @@ from pyspark.sql import functions as F
 from ..functions.calendar import DAY_US, floor_days_us
 
 HOUR_US = 3_600_000_000
+# slot widths tried by the automatic choice, coarse to fine (each divides a day)
+SLOT_CHOICES = (HOUR_US, 60_000_000, 1_000_000, 1_000)
+MAX_SLOT_ROWS = 4_000_000  # rows one task sorts for the event-level window
 NO_PREVIOUS_DAYS = 999  # fixed value: "days since last" when a zone has no earlier event
 
 _P = "_zp_"  # prefix of internal columns
@@ -54,6 +57,23 @@ def _zone_key(df: DataFrame, zone_col: str) -> Column:
     return F.coalesce(F.col(zone_col).cast("string"), F.lit("\u0000null"))
 
 
+def choose_slot(df: DataFrame, zone_col: str, time_col: str,
+                max_rows: int = MAX_SLOT_ROWS) -> int:
+    """Widest slot whose busiest (zone, slot) holds at most ``max_rows`` events.
+
+    One aggregation per tried width (zone and time columns only, map-side
+    combined); usually only the hour is tried.
+    """
+    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    for width in SLOT_CHOICES:
+        top = (df.filter(F.col(time_col).isNotNull())
+                 .groupBy(F.col(zone_col), F.floor(us / F.lit(width)).alias("_s")).count()
+                 .agg(F.max("count")).first()[0])
+        if top is None or top <= max_rows:
+            return width
+    return SLOT_CHOICES[-1]
+
+
 def zone_window_features(
     df: DataFrame,
     zone_col: str = "cluster_id",
@@ -67,7 +87,7 @@ def zone_window_features(
     prev_event: bool = False,
     prev_row: bool = False,
     count_before_days: int | None = None,
-    slot_us: int = HOUR_US,
+    slot_us: int | None = None,
 ) -> DataFrame:
     """Add window features; returns ``df`` (rows with a null time are dropped) plus:
 
@@ -80,7 +100,12 @@ def zone_window_features(
     * ``prev_us``: time (us) of the latest strictly earlier event, null if none [rows 32, 56]
     * ``prev_row_us``: time (us) of the previous row in (time, id) order [row 56b]
     * ``cnt_before_{d}d``: events in [t-d days, t)                      [row 31]
+
+    ``slot_us=None`` picks the slot width from the data (:func:`choose_slot`), so a
+    burst in one zone is split into finer slots instead of one large task.
     """
+    if slot_us is None:
+        slot_us = choose_slot(df, zone_col, time_col)
     if DAY_US % slot_us:
         raise ValueError("slot_us must divide a day")
     i = id_col
