@@ -344,3 +344,31 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
 def distinct_coords(df: DataFrame, lat="latitude", lon="longitude") -> DataFrame:
     """Row 64: distinct coordinate pairs (null pairs kept, as pandas drop_duplicates)."""
     return df.select(lat, lon).distinct()
+
+
+def panel_counts(df: DataFrame, panels: dict[str, Column],
+                 zero_fill: dict[str, list[str]] | None = None) -> DataFrame:
+    """Counts for several groupings in one pass: ``GROUPING SETS`` over the panel keys.
+
+    One scan and one (map-side combined) shuffle instead of one per panel; the
+    result is long: (panel, key, n) with the key as text.  ``zero_fill`` adds
+    missing keys of fixed domains (weekdays, months) with 0 on the small result.
+    """
+    names = list(panels)
+    cols = [f"_p{j}" for j in range(len(names))]
+    base = df.select(*[panels[n].alias(c) for n, c in zip(names, cols)])
+    agg = base.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"_g{j}") for j, c in enumerate(cols)])
+    panel = F.lit(None).cast("string")
+    key = F.lit(None).cast("string")
+    for j, (n, c) in enumerate(zip(names, cols)):
+        hit = F.col(f"_g{j}") == 0
+        panel = F.when(hit, F.lit(n)).otherwise(panel)
+        key = F.when(hit, F.col(c).cast("string")).otherwise(key)
+    out = agg.select(panel.alias("panel"), key.alias("key"), F.col("n").cast("bigint").alias("n"))
+    if zero_fill:
+        spark = df.sparkSession
+        dom = spark.createDataFrame([(p, k, 0) for p, ks in zero_fill.items() for k in ks],
+                                    "panel string, key string, n bigint")
+        out = out.unionByName(dom).groupBy("panel", "key").agg(F.sum("n").cast("bigint").alias("n"))
+    return out
