@@ -229,24 +229,30 @@ def quality_checks(df: DataFrame, lat="latitude", lon="longitude", time_col="dat
 
 def kpis(df: DataFrame, time_col="datetime", cluster_col="cluster_id",
          area_col: str = "area") -> DataFrame:
-    """Row 47: total, date range, clusters, mean per active day, peak day (+count), top area."""
-    daily = daily_counts(df, time_col)
-    d = daily.agg(F.sum("n").alias("total_outages"),
-                  F.date_format(F.min("date"), "yyyy-MM-dd").alias("date_start"),
-                  F.date_format(F.max("date"), "yyyy-MM-dd").alias("date_end"),
-                  F.avg("n").alias("avg_daily"),
-                  # the earliest day wins a tie, like idxmax over date-sorted groups
-                  F.date_format(F.min_by("date", F.struct(-F.col("n"), F.col("date"))),
-                                "yyyy-MM-dd").alias("peak_day"),
-                  F.max("n").alias("peak_count"))
-    parts = [d]
+    """Row 47: total, date range, clusters, mean per active day, peak day (+count), top area.
+
+    One pass: day, cluster and area counts come from one GROUPING SETS aggregate;
+    the KPI row is a small aggregation of that.
+    """
+    panels = {"daily": F.to_date(time_col)}
     if cluster_col in df.columns:
-        parts.append(df.agg(F.count_distinct(cluster_col).alias("n_clusters")))
+        panels["clusters"] = F.col(cluster_col)
     if area_col in df.columns:
-        per = df.groupBy(area_col).agg(_count().alias("n"))
-        parts.append(per.agg(
-            F.min_by(area_col, F.struct(-F.col("n"), F.col(area_col))).alias("top_area"),
-            F.max("n").alias("top_area_count")))
+        panels["area"] = F.col(area_col)
+    g = panel_counts(df, panels)
+    day = g.filter(F.col("panel") == "daily")
+    parts = [day.agg(F.sum("n").alias("total_outages"), F.min("key").alias("date_start"),
+                     F.max("key").alias("date_end"), F.avg("n").alias("avg_daily"),
+                     # the earliest day wins a tie, like idxmax over date-sorted groups
+                     F.min_by("key", F.struct(-F.col("n"), F.col("key"))).alias("peak_day"),
+                     F.max("n").alias("peak_count"))]
+    if "clusters" in panels:
+        parts.append(g.filter(F.col("panel") == "clusters").agg(
+            F.count("key").alias("n_clusters")))
+    if "area" in panels:
+        a = g.filter((F.col("panel") == "area") & F.col("key").isNotNull())
+        parts.append(a.agg(F.min_by("key", F.struct(-F.col("n"), F.col("key"))).alias("top_area"),
+                           F.max("n").alias("top_area_count")))
     return combine_rows(*parts)
 
 
@@ -299,18 +305,31 @@ def missing_report(df: DataFrame, places: int = 4) -> DataFrame:
 
 def mode_peaks(df: DataFrame, time_col="datetime", cluster_col="cluster_id",
                season_col: str = "season") -> DataFrame:
-    """Row 50: most common weekday / month (smallest wins ties), peak season, clusters."""
-    parts = [df.agg(F.mode(weekday0(time_col), True).alias("top_day_of_week"),
-                    F.mode(F.month(time_col), True).alias("top_month"))]
+    """Row 50: most common weekday / month (smallest wins ties), peak season, clusters.
+
+    One pass: the four groupings come from one GROUPING SETS aggregate.
+    """
+    panels = {"dow": weekday0(time_col), "month": F.month(time_col)}
     if season_col in df.columns:
-        per = df.groupBy(season_col).agg(_count().alias("n"))
-        parts.append(per.agg(
-            F.min_by(season_col, F.struct(-F.col("n"), F.col(season_col))).alias("peak_season"),
-            F.max("n").alias("peak_season_count")))
+        panels["season"] = F.col(season_col)
     if cluster_col in df.columns:
-        per = df.groupBy(cluster_col).agg(_count().alias("n"))
-        parts.append(per.agg(F.count(F.lit(1)).alias("n_clusters"),
-                             F.max("n").alias("largest_cluster")))
+        panels["cluster"] = F.col(cluster_col)
+    g = panel_counts(df, panels)
+
+    def top(panel: str, cast: str | None = None):
+        rows = g.filter((F.col("panel") == panel) & F.col("key").isNotNull())
+        k = F.col("key").cast(cast) if cast else F.col("key")
+        return rows, F.min_by(k, F.struct(-F.col("n"), k))
+
+    dow, dtop = top("dow", "int")
+    mon, mtop = top("month", "int")
+    parts = [dow.agg(dtop.alias("top_day_of_week")), mon.agg(mtop.alias("top_month"))]
+    if "season" in panels:
+        sea, stop = top("season")
+        parts.append(sea.agg(stop.alias("peak_season"), F.max("n").alias("peak_season_count")))
+    if "cluster" in panels:
+        cl = g.filter((F.col("panel") == "cluster") & F.col("key").isNotNull())
+        parts.append(cl.agg(F.count("key").alias("n_clusters"), F.max("n").alias("largest_cluster")))
     return combine_rows(*parts)
 
 
