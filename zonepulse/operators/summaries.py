@@ -80,11 +80,11 @@ def cluster_counts(df: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
 
     """
     per = df.groupBy(cluster_col).agg(_count().alias("n"))
-    # totals as one row (a tree aggregate), attached by an equi-join on a constant key
+    # three scalars from a tree aggregate, attached as literals (no join, no global window)
     tot = per.agg(F.count(F.lit(1)).alias("n_clusters"), F.max("n").alias("largest"),
-                  F.min("n").alias("smallest")).withColumn("_one", F.lit(1))
-    return (per.withColumn("_one", F.lit(1)).join(F.broadcast(tot), "_one").drop("_one")
-               .orderBy(cluster_col))
+                  F.min("n").alias("smallest")).first()
+    return per.withColumns({c: F.lit(tot[c]).cast("bigint")
+                            for c in ("n_clusters", "largest", "smallest")}).orderBy(cluster_col)
 
 
 def cluster_month_pivot(df: DataFrame, cluster_col: str = "cluster_id",
