@@ -106,11 +106,13 @@ def split_temporal(df: DataFrame, test_size: float = 0.2, time_col: str = "datet
 
 
 def rank_within_class(df: DataFrame, label_col: str, id_col: str, seed: int = 42,
-                      hash_buckets: int = 64) -> DataFrame:
+                      hash_buckets: int = 1 << 16) -> DataFrame:
     """Add ``_rank`` (1-based) inside each class in (hash, id) order, plus ``_n_class``.
 
     Partitioned by (label, hash bucket); offsets of earlier buckets come from
-    a count table with one row per (label, bucket).
+    a count table with one row per (label, bucket) (at most labels x 65,536 rows,
+    broadcast).  With 10^12 rows a bucket holds a few million rows, so even a class
+    with a third of all rows is sorted in many small tasks.
     """
     h = mix_hash(id_col, seed)
     width = -(-HASH_PRIME // hash_buckets)
