@@ -157,3 +157,10 @@ def test_slot_choice_splits_a_burst(spark):
     assert W.choose_slot(df, "cluster_id", "datetime", max_rows=10) == 60_000_000
     assert W.choose_slot(df, "cluster_id", "datetime") == W.HOUR_US
     check(spark, rows, slot_us=60_000_000)
+
+
+def test_censored_flag(spark):
+    rows = [(1, 1, T0), (2, 1, T0 + 2 * DAY), (3, 1, T0 + 10 * DAY)]
+    out = {r["record_id"]: r for r in
+           W.target_high_activity(make_df(spark, rows), censored=True).collect()}
+    assert [out[i]["censored"] for i in (1, 2, 3)] == [False, False, True]

@@ -292,12 +292,22 @@ def historical_features(df, lookback_days=(7, 30), zone_col="cluster_id", time_c
 
 def target_high_activity(df, window_days: int = 7, high_activity_threshold: int = 3,
                          gap_days: int = 1, zone_col="cluster_id", time_col="datetime",
-                         id_col="record_id") -> DataFrame:
-    """Rows 57-58: ``future_outage_days`` in (t+gap, t+N] and ``target`` = days > threshold."""
+                         id_col="record_id", censored: bool = False) -> DataFrame:
+    """Rows 57-58: ``future_outage_days`` in (t+gap, t+N] and ``target`` = days > threshold.
+
+    Like the reference, a look-ahead that runs past the end of the data counts 0
+    there; ``censored=True`` adds a ``censored`` flag for those rows (one scalar
+    aggregate: the last time in the data).
+    """
     out = zone_window_features(df, zone_col, time_col, id_col, future=(window_days, gap_days))
-    return (out.withColumnRenamed("future_days", "future_outage_days")
-               .withColumn("target", (F.col("future_outage_days") > high_activity_threshold)
-                           .cast("int")))
+    out = (out.withColumnRenamed("future_days", "future_outage_days")
+              .withColumn("target", (F.col("future_outage_days") > high_activity_threshold)
+                          .cast("int")))
+    if censored:
+        t = F.unix_micros(F.col(time_col).cast("timestamp"))
+        last = df.agg(F.max(F.unix_micros(F.col(time_col).cast("timestamp")))).first()[0]
+        out = out.withColumn("censored", t + F.lit(window_days * DAY_US) > F.lit(last))
+    return out
 
 
 def target_any(df, target_type: str = "outage_next_week", zone_col="cluster_id",
