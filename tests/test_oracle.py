@@ -50,11 +50,19 @@ def duck():
     return con
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "TIMESTAMP": "timestamp", "DATE": "date"}
+
+
 @pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle(spark, duck, key):
     import __spark_entry__ as E
-    got = _canon(E.queries()[key](spark, SF).toPandas())
-    exp = _canon(duck.sql(E.oracle_sql()[key]).df())
+    sdf = E.queries()[key](spark, SF)
+    rel = duck.sql(E.oracle_sql()[key])
+    # same column types, not only the same values
+    assert dict(sdf.dtypes) == {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    got = _canon(sdf.toPandas())
+    exp = _canon(rel.df())
     assert got[0] == exp[0]
     assert len(got[1]) == len(exp[1])
     assert got[1] == exp[1]
