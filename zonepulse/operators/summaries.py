@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import (DAY_US, MONTH_NAMES, WEEKDAY_NAMES, floor_days_us,
+from ..functions.calendar import (MONTH_NAMES, WEEKDAY_NAMES, floor_days_us,
                                   month_period, weekday0, year_quarter_label)
 from .clean import CHECK_BOX, WORLD_LAT, WORLD_LON
 
