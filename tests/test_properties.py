@@ -25,3 +25,20 @@ def test_kth_value_equals_sorted_value(spark, values, data):
     k = data.draw(st.integers(min_value=1, max_value=len(values)))
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     assert splits.kth_value(df, "x", k, max_rows=8, buckets=4) == sorted(values)[k - 1]
+
+
+events = st.lists(st.tuples(st.integers(min_value=0, max_value=2),          # zone
+                            st.integers(min_value=0, max_value=20 * 24),    # hour offset
+                            st.sampled_from([0, 0, 1, 59 * 60 * 1_000_000])),  # extra us
+                  min_size=1, max_size=40)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(evs=events, slot=st.sampled_from([3_600_000_000, 60_000_000]))
+def test_window_core_equals_brute_force(spark, evs, slot):
+    import datetime as dt
+
+    from tests.test_windows import check
+    t0 = dt.datetime(2024, 5, 1)
+    rows = [(i, z, t0 + dt.timedelta(hours=h, microseconds=u)) for i, (z, h, u) in enumerate(evs)]
+    check(spark, rows, slot_us=slot)
