@@ -68,6 +68,42 @@ def op4(spark, sf_dir):
     return mix(documents(spark, sf_dir)).drop("copies")
 
 
+@register("op2_pii")
+def op2(spark, sf_dir):
+    from .pii import KINDS, find_pii
+    from .spans import label
+    found = find_pii(documents(spark, sf_dir))
+    base = F.concat(*[label(F.col(k), k) for k in KINDS])
+    more = F.transform("added", lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string")))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(F.concat(base, more), ",").alias("spans"),
+        F.size("added").cast("long").alias("n_added"))
+
+
+@register("op5_fingerprint")
+def op5(spark, sf_dir):
+    from .fingerprint import as_text, fingerprint_pairs
+    return fingerprint_pairs(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sk")).alias("fingerprint"),
+        as_text(F.col("edited_sk")).alias("edited_fingerprint"), "near_edited", "near_next", "kept_in_edited")
+
+
+@register("op6_quality")
+def op6(spark, sf_dir):
+    from .quality import classify
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+@register("op8_secrets")
+def op8(spark, sf_dir):
+    from .secrets import KINDS, joined, scan_secrets
+    found = scan_secrets(documents(spark, sf_dir))
+    return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
+                        F.sha2(joined(KINDS), 256).alias("base_sha256"),
+                        joined((*KINDS, "entropy")).alias("spans"))
+
+
 @register("op9_sentencepiece")
 def op9(spark, sf_dir):
     from .piece_codec import encode_digest

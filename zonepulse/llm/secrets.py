@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, text_of
-from .spans import label, let, match_spans, overlaps
+from .spans import let, match_spans, overlaps
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+")
@@ -85,22 +85,24 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     t = t.withColumn("access", match_spans(F.col("t"), ACCESS, guard=F.contains("t", F.lit("AKIA"))))
     t = t.withColumn("hex", match_spans(F.col("t"), HEX))
     base = F.concat("assign", "access", "hex")
-    for kind, chars, bits in CLASSES:
-        dense = match_spans(F.col("t"), f"(?<![{chars}])[{chars}]{{{WINDOW},}}+")
-        t = t.withColumn(kind, F.filter(dense, lambda x: ~reduce(or_, [F.rlike(x["m"], F.lit(p)) for p in ALLOWED])))
+    for kind, chars, _ in CLASSES:
+        runs = match_spans(F.col("t"), f"(?<![{chars}])[{chars}]{{{WINDOW},}}+")
+        t = t.withColumn(kind, F.filter(runs, lambda x: ~reduce(or_, [F.rlike(x["m"], F.lit(p)) for p in ALLOWED])))
     t = t.withColumn("base", base)
-    found = [F.transform(F.filter(F.filter(F.col(kind), lambda x: ~overlaps(x, F.col("base"))),
-                                  lambda x, bits=bits: max_entropy(x["m"]) >= bits),
-                         lambda x, kind=kind: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
-             for kind, _, bits in CLASSES]
+    def dense(kind: str, bits: float) -> Column:
+        own = F.filter(F.col(kind), lambda x: ~overlaps(x, F.col("base")))
+        return F.transform(F.filter(own, lambda x: max_entropy(x["m"]) >= bits),
+                           lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
+    found = [dense(kind, bits) for kind, _, bits in CLASSES]
     return t.select("doc_id", *KINDS, F.array_sort(F.concat(*found)).alias("entropy"))
 
 
-def joined(df: DataFrame, kinds: tuple[str, ...]) -> Column:
+def joined(kinds: tuple[str, ...]) -> Column:
     """kind:start:end of the listed span columns, by start and then by kind as listed."""
-    rows = F.concat(*[F.transform(F.col(k), lambda x, i=i, k=k: F.struct(
-        x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"), F.lit(k).alias("kind"))) for i, k in enumerate(kinds)],
-        *([F.transform(F.col("entropy"), lambda x: F.struct(
-            x["s"].alias("s"), F.lit(9).alias("k"), x["e"].alias("e"), x["kind"].alias("kind")))] if "entropy" in df.columns else []))
+    def ranked(k: str, rank: int) -> Column:
+        return F.transform(F.col(k), lambda x: F.struct(
+            x["s"].alias("s"), F.lit(rank).alias("k"), x["e"].alias("e"),
+            (x["kind"] if k == "entropy" else F.lit(k)).alias("kind")))
+    rows = F.concat(*[ranked(k, i) for i, k in enumerate(kinds)])
     return F.array_join(F.transform(F.array_sort(rows), lambda x: F.concat_ws(
         ":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
