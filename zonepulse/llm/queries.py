@@ -24,6 +24,12 @@ def op1(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir), extra={"text_sha256": F.sha2(text_of(), 256)})
 
 
+@register("op3_near_dedup")
+def op3(spark, sf_dir):
+    from .near_dedup import near_duplicates
+    return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
 @register("op4_mix_sources", r"""
     WITH d AS (
       SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
