@@ -123,3 +123,28 @@ def edited_texts(rows):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def line_runs(rows, least=50):
+    """Deleted line numbers of each (doc_id, text) row, by listing every run of lines with ``least`` words."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    lines = [(t or "").encode().split(b"\n") if t is not None else [] for _, t in rows]
+    seen, gone = {}, [set() for _ in rows]
+    spans = []
+    for i in order:
+        own = lines[i]
+        count = [len(x.split()) for x in own]
+        for s in range(len(own)):
+            total = 0
+            for e in range(s, len(own)):
+                total += count[e]
+                if total >= least:
+                    spans.append((i, s, e + 1, tuple(own[s:e + 1])))
+    rank = {i: k for k, i in enumerate(order)}
+    for i, s, e, run in sorted(spans, key=lambda x: (rank[x[0]], x[1], x[2])):
+        if run not in seen:
+            seen[run] = (i, s)
+        elif seen[run] != (i, s):
+            f, fs = seen[run]
+            gone[i] |= set(range(max(s, fs + e - s) if f == i else s, e))
+    return gone

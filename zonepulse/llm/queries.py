@@ -101,6 +101,13 @@ def op6(spark, sf_dir):
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
 
 
+@register("op7_line_dedup")
+def op7(spark, sf_dir):
+    from .line_dedup import dedup_lines
+    return dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_deleted", "runs", F.sha2(text_of(), 256).alias("text_sha256"))
+
+
 @register("op8_secrets")
 def op8(spark, sf_dir):
     from .secrets import KINDS, joined, scan_secrets
