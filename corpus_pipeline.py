@@ -8,14 +8,35 @@ import uuid
 from pyspark.sql import functions as F
 
 from zonepulse.llm.common import drop_scratch, unpacked
+from zonepulse.llm.line_dedup import without_copies
 from zonepulse.llm.mixing import mix
+from zonepulse.llm.near_dedup import one_of_each
 from zonepulse.llm.piece_codec import encode_digest
+from zonepulse.llm.quality import keep_good
 from zonepulse.llm.queries import tokenizer_path
 from zonepulse.session import ensure_checkpoint_dir
 
 
+def quality_stage(spark, docs, sf_dir):
+    """The documents that the quality classifier accepts."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+def line_stage(spark, docs, sf_dir):
+    """The documents without later copies of repeated line runs; wholly repeated documents go."""
+    drop_scratch(spark)
+    return without_copies(docs)
+
+
+def near_stage(spark, docs, sf_dir):
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8)."""
+    drop_scratch(spark)
+    return one_of_each(docs)
+
+
 def mix_stage(spark, docs, sf_dir):
     """Each document as often as the mix takes it; documents without words come through once."""
+    drop_scratch(spark)
     mixed = mix(docs, whole_rows=True)
     times = F.when(F.col("size") > 0, F.col("copies")).otherwise(1).cast("int")
     return unpacked(mixed.where(times > 0).withColumn("i_", F.explode(F.sequence(F.lit(1), times))), docs.columns)
@@ -23,21 +44,23 @@ def mix_stage(spark, docs, sf_dir):
 
 def encode_stage(spark, docs, sf_dir):
     """The documents' ids and round trips as digests."""
+    drop_scratch(spark)
     return encode_digest(docs, tokenizer_path())
 
 
-STAGES = [("mix_sources", mix_stage), ("sentencepiece", encode_stage)]
+# A stage starts when its predecessor's result is written, so the predecessor's scratch tables may go.
+STAGES = [("quality_classifier", quality_stage), ("line_dedup", line_stage), ("near_dedup", near_stage),
+          ("mix_sources", mix_stage), ("sentencepiece", encode_stage)]
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages on ``documents``; a stage's scratch tables go once its result is written."""
+    """All stages on ``documents``; returns the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     base = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "tables", f"pipeline-{uuid.uuid4().hex}")
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{base}/{k}-{name}")
-        drop_scratch(spark)
-        docs = spark.read.parquet(f"{base}/{k}-{name}")
+        if k < len(STAGES) - 1:
+            out.write.parquet(f"{base}/{k}-{name}")
+            docs = spark.read.parquet(f"{base}/{k}-{name}")
+    return out

@@ -87,6 +87,19 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without_keys(rows: DataFrame, keys: DataFrame, cell_bits: int = 20) -> DataFrame:
+    """The ``rows`` (with a column key) whose key is not in ``keys``.
+
+    Only rows in the hash cell of such a key are shuffled; the set of cells has
+    ``2**cell_bits`` rows at most and is broadcast.
+    """
+    cell = F.pmod(F.xxhash64("key"), F.lit(1 << cell_bits))
+    cells = keys.select(cell.alias("cell")).distinct().withColumn("hit", F.lit(True))
+    marked = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left").drop("cell")
+    clear = marked.where("hit IS NULL").drop("hit")
+    return clear.unionByName(marked.where("hit").drop("hit").join(keys.select("key").distinct(), "key", "left_anti"))
+
+
 def drop_scratch(spark: SparkSession | None = None) -> None:
     """Delete the scratch tables of this process, once the results that read them are written."""
     for path in list(_SCRATCH):

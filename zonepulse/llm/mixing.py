@@ -153,6 +153,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, whole_ro
             .select(F.col("source").alias("s"), "source_size", "target", "full",
                     F.when(F.col("full") >= max_epochs, 0).otherwise(F.col("cut")).alias("cut"),
                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    plan = scratch_table(plan, "mix_plan")          # Spark broadcasts it if its files are small, and else joins by salt
     rows = (keyed if whole_rows else narrow).withColumn("salt_", (F.col("place") % SALTS).cast("int"))
     copies = F.col("full") + F.when(F.col("place") < F.col("cut"), 1).otherwise(0)
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("salt_") == F.col("salt")))

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pick, row_key, scratch_table
+from .common import packed, pick, row_key, scratch_table, unpacked, without_keys
 from .components import components
 
 SHINGLE = 5
@@ -249,11 +249,8 @@ def _confirm_rest(blocks: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF,
-                    chunk: int = CHUNK, whole_rows: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
-
-    With ``whole_rows`` the rows come as ``row_`` (see ``common.packed``) instead, with the same columns.
-    """
+                    chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``; with ``keyed`` also its ``row_key``."""
     texts = pick(docs, "doc_id", "text")
     rows = scratch_table(_signed(texts, width), "near_rows")
     classes = (rows.where("cls IS NOT NULL").groupBy("cls")
@@ -312,8 +309,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     result = (rows.join(of_class, "cls", "left")
               .select("key", "doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"),
                       F.col("doc_id").eqNullSafe(group).alias("kept")))
-    if not whole_rows:
-        return result.drop("key")
-    whole = packed(docs, "doc_id", "text").withColumn("key", row_key()).select("key", "row_")
-    decided = result.dropDuplicates(["key"]).drop("doc_id")
-    return whole.join(decided, "key").drop("key")
+    return result if keyed else result.drop("key")
+
+
+def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with its own columns, one document of each group; texts move only if they may go."""
+    found = near_duplicates(docs, width, percent, keyed=True)
+    gone = scratch_table(found.where("NOT kept").select("key"), "near_gone")
+    rows = packed(docs, "doc_id", "text").withColumn("key", row_key()).select("key", "row_")
+    return unpacked(without_keys(rows, gone), docs.columns)

@@ -142,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple
     return np.frombuffer(bytes(model[0]["w"]), np.float32), model[0]["bias"]
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``docs`` with ``score``, the likelihood of label 1.  ``docs`` needs a column text; its type stays."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text") -> DataFrame:
+    """``docs`` with ``score``, the likelihood of label 1, from its column ``text``."""
     w, bias = model
     sent = docs.sparkSession.sparkContext.broadcast((w, bias))
     from pyspark.sql.types import DoubleType, StructField, StructType
@@ -155,7 +155,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: tuple[str,
         make = Hasher()
         for b in batches:
             out = []
-            for t in b.column("text").to_pylist():
+            for t in b.column(text).to_pylist():
                 cells, values = make(t)
                 x = float(np.dot(weights[cells], values)) + b0
                 out.append(1 / (1 + np.exp(-min(max(x, -35.0), 35.0))))
@@ -168,3 +168,12 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, thr
     scored = score(pick(docs, "doc_id", "text"), fit(docs, labels, max_train)).drop("text")
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with its own columns, without the rows that score below ``threshold``."""
+    names = docs.columns
+    at = names.index("text") if "text" in names else [c.lower() for c in names].index("text")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    scored = score(plain, fit(docs, labels, max_train), f"c{at}")
+    return scored.where(F.col("score") >= threshold).drop("score").toDF(*names)
