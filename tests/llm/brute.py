@@ -148,3 +148,40 @@ def line_runs(rows, least=50):
             f, fs = seen[run]
             gone[i] |= set(range(max(s, fs + e - s) if f == i else s, e))
     return gone
+
+
+def mixture(rows, weights=(1, 2, 3), cap=3):
+    """{row index: (size, source_size, target, copies)} for (doc_id, text, source) rows."""
+    size = [len(words(t)) for _, t, _ in rows]
+    place = [int(hashlib.md5((("" if d is None else str(d)) + ":" + (t or "")).encode()).hexdigest()[:15], 16) for d, t, _ in rows]
+    sources = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(z for z, r in zip(size, rows) if r[2] == s) for s in sources}
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
+    held = set()
+    while True:
+        rest = sum(total.values()) - sum(cap * total[s] for s in held)
+        w = sum(weight[s] for s in sources if s not in held)
+        more = {s for s in sources if s not in held and w and weight[s] * rest > cap * total[s] * w}
+        if not more:
+            break
+        held |= more
+    target = {s: float(cap * total[s]) if s in held else float(weight[s]) * float(rest) / float(w) for s in sources}
+    out = {}
+    for s in sources:
+        full = min(int(target[s] // total[s]), cap) if total[s] else 0
+        budget, taken, extra = target[s] - full * total[s], 0, set()
+        cells = {}
+        for i, r in enumerate(rows):
+            if r[2] == s and size[i]:
+                cells.setdefault(place[i], []).append(i)
+        for p in sorted(cells):
+            n = sum(size[i] for i in cells[p])
+            if full >= cap or taken > budget:
+                break
+            if taken + n <= budget or taken + n - budget < budget - taken:
+                extra |= set(cells[p])
+            taken += n
+        for i, r in enumerate(rows):
+            if r[2] == s:
+                out[i] = (size[i], total[s], target[s], full + (i in extra))
+    return out

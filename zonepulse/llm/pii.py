@@ -157,8 +157,9 @@ def find_pii(docs: DataFrame) -> DataFrame:
              .agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")))
     total = soft.agg(F.sum("p"), F.sum(1 - F.col("p"))).first()
     yes, no = total[0] or 0.0, total[1] or 0.0
-    weights = cells.select("cell", (F.log((F.col("yes") + 0.5) / (yes + 1)) - F.log((F.col("no") + 0.5) / (no + 1))).alias("w"))
     start = math.log((yes + 1) / (no + 1))
+    rate = (yes + 1) / (yes + no + 2)                 # a cell starts from one span at the overall rate
+    weights = cells.select("cell", (F.log((F.col("yes") + rate) / (F.col("no") + (1 - rate))) - start).alias("w"))
     scored = (soft.where(~F.col("known")).select("key", "kind", "s", "e", F.explode("cells").alias("cell"))
               .join(F.broadcast(weights), "cell")                                   # FEATURE_CELLS rows at most
               .groupBy("key", "kind", "s", "e").agg((F.sum("w") + start).alias("score")))
