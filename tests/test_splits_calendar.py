@@ -17,7 +17,7 @@ def test_kth_key_refines_exactly(spark):
     df = spark.createDataFrame(rows, "id long, k long")
     order = sorted((k, i) for i, k in rows)
     for k in (1, 1234, 2999, 3000):
-        assert splits.kth_key(df, k, "k", "id", max_rows=50, buckets=8) == order[k - 1]
+        assert splits.kth_key(df, k, "k", "id", fan=8) == order[k - 1]
     assert splits.kth_key(df, 0, "k", "id") is None
 
 
@@ -25,7 +25,7 @@ def test_temporal_split_sizes_and_ties(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i, t0 + dt.timedelta(days=i // 7)) for i in range(101)]  # 7-way time ties
     df = spark.createDataFrame(rows, "record_id long, datetime timestamp")
-    out = splits.split_temporal(df, 0.2, max_rows=10)
+    out = splits.split_temporal(df, 0.2)
     train = sorted(r["record_id"] for r in out.filter(F.col("split") == "train").collect())
     assert train == list(range(80))
 
@@ -73,4 +73,59 @@ def test_exact_quantile_matches_interpolated_percentile(spark):
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
     for q in (0.5, 0.1, 0.75):
         assert splits.exact_quantile(df, "x", q) == pytest.approx(float(np.quantile(vals, q)))
-    assert splits.kth_value(df, "x", 1000, max_rows=40, buckets=8) == sorted(vals)[999]
+    assert splits.kth_value(df, "x", 1000, fan=8) == sorted(vals)[999]
+
+
+def test_selection_on_heavy_ties_and_wide_ids(spark):
+    """99.95 % zeros in two million rows, and ids that doubles can't tell apart."""
+    df = spark.range(2_000_000).select(F.when(F.col("id") % 2000 == 0, F.col("id") + 1.0).otherwise(0.0).alias("x"))
+    assert splits.exact_quantile(df, "x", 0.5) == 0.0
+    assert splits.kth_value(df, "x", 1_999_001) == 1.0
+    wide = spark.range(500).select((F.lit(1 << 62) + F.col("id")).alias("id"), (F.col("id") % 2).alias("k"))
+    assert splits.kth_key(wide, 250, "k", "id") == (0, (1 << 62) + 498)
+    assert splits.kth_key(wide, 251, "k", "id") == (1, (1 << 62) + 1)
+
+
+def test_quantiles_of_several_columns_share_passes(spark):
+    df = spark.createDataFrame([(i, float(i * i), None) for i in range(101)], "a int, b double, c double")
+    assert splits.exact_quantiles(df, ["a", "b", "c"], 0.25) == {"a": 25.0, "b": 625.0, "c": None}
+
+
+def test_rows_without_label_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "record_id long, target int")
+    for out in (splits.split_stratified(df, 0.2, "target"), splits.fold_stratified(df, 5, "target")):
+        assert out.count() == 100 and out.where("target IS NULL").count() == 10
+
+
+def test_null_time_has_no_season(spark):
+    df = spark.createDataFrame([(1, None)], "id int, datetime timestamp")
+    for f in (cal.temporal_features, cal.temporal_features_b):
+        r = f(df).first()
+        assert r["season"] is None and r["is_weekend"] == 0
+
+
+def test_one_hot_of_any_number_of_levels(spark):
+    from zonepulse.operators import prep
+    rows = [(i, f"area {i:05d}" if i else None, i % 2, None if i == 5 else float(i)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "record_id long, area string, target int, x double")
+    table, columns, names = prep.feature_table(df)
+    assert columns == ["x", "area_vec"] or columns == ["area_vec", "x"]
+    assert len(names) == 1199 and table.count() == 1200
+    by = {r["record_id"]: r for r in table.collect()}
+    slots = [n for n in names if n != "x"]
+    assert by[0]["area_vec"].numNonzeros() == 0 and by[1]["area_vec"].numNonzeros() == 0
+    assert slots[int(by[7]["area_vec"].indices[0])] == "area_area 00007"
+    assert by[5]["x"] == 600.0
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_time_order_over_gaps_in_the_ids(spark, bits):
+    from zonepulse.operators import summaries as S
+    t0 = dt.datetime(2024, 1, 1)
+
+    def ordered(rows):
+        df = spark.createDataFrame([(i, t0 + dt.timedelta(days=d)) for i, d in rows], "record_id long, datetime timestamp")
+        return S.in_time_order(df, bits=bits).first()[0]
+    assert not ordered([(0, 5), (1, 6), (500_000, 2), (500_001, 3)])
+    assert not ordered([(-(1 << 62), 5), (1 << 62, 2)])
+    assert ordered([(-(1 << 62), 0), (0, 1), (1, 1), (500_000, 2), (1 << 62, 3)])

@@ -47,13 +47,19 @@ def weekday0(c) -> Column:
 
 
 def season(month: Column, calendar: str = "A") -> Column:
+    """Season of a month number; null for null."""
     cal = SEASON_A if calendar == "A" else SEASON_B
-    expr = F.lit(SEASON_OTHER)
+    expr = F.when(month.between(1, 12), F.lit(SEASON_OTHER))
     for name, months in cal.items():
         expr = F.when(month.isin(*months), F.lit(name)).otherwise(expr)
     return expr
 
 
+def is_weekend(c) -> Column:
+    """1 on Saturday and Sunday, else 0 (also for a null time)."""
+    return F.coalesce((weekday0(c) >= 5).cast("int"), F.lit(0))
+
+
 def basic_calendar(df: DataFrame, time_col: str = "datetime") -> DataFrame:
     """Row 9: year, month, day_of_week, quarter as added during preprocessing."""
     t = F.col(time_col)
@@ -70,7 +76,7 @@ def temporal_features(df: DataFrame, date_col: str = "datetime") -> DataFrame:
         "year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t),
         "day_of_week": weekday0(t), "day_of_year": F.dayofyear(t),
         "week_of_year": F.weekofyear(t), "quarter": F.quarter(t),
-        "is_weekend": (weekday0(t) >= 5).cast("int"),
+        "is_weekend": is_weekend(t),
         "season": season(F.month(t), "A"),
     })
 
@@ -89,7 +95,7 @@ def temporal_features_b(df: DataFrame, date_column: str = "datetime") -> DataFra
     return df.withColumns({
         "year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t),
         "day_of_week": weekday0(t), "week_of_year": F.weekofyear(t),
-        "quarter": F.quarter(t), "is_weekend": (weekday0(t) >= 5).cast("int"),
+        "quarter": F.quarter(t), "is_weekend": is_weekend(t),
         "season": season(F.month(t), "B"),
     })
 

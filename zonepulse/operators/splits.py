@@ -2,14 +2,14 @@
 
 No global window over the rows:
 
-* the temporal cut-off (the k-th row in (time, id) order) is found by
-  histogram refinement: approximate quantiles give bucket bounds, an
-  exact count per bucket (a bounded histogram) says which bucket holds
-  rank k, and only that bucket's rows go on to the next round, until a
-  small candidate set is ranked exactly;
+* selection (the k-th row in (time, id) order, medians) refines histograms:
+  a round counts the rows below, at and between a few bounds and goes on
+  inside the open interval that holds the rank, until the rank falls on a
+  bound itself.  All columns and ranks share the passes of a round, and the
+  plan is the same at every size;
 * stratified splits and folds rank rows inside (label, hash bucket)
   partitions; hash buckets are uniform, so a class holding most rows is
-  spread over many tasks, and bucket offsets come from a small count table.
+  spread over many tasks, and bucket offsets come from a table of counts.
 """
 
 from __future__ import annotations
@@ -18,77 +18,102 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HASH_PRIME = 1_000_003  # fixed value: modulus of the integer mixing hash
+HASH_BITS = 48          # fixed value: leading bits of the digest that orders ids
+BUCKET_BITS = 16        # of which the first ones name the hash bucket
+FAN = 64                # bounds per round of a selection
+EXACT_DOUBLE = 1 << 53  # whole numbers up to this size are exact as doubles
 
 
 def mix_hash(id_col: str, seed: int = 42) -> Column:
-    """Deterministic integer hash in [0, HASH_PRIME): a permutation of ids mod the prime.
-
-    Plain integer arithmetic (no overflow), so any SQL engine computes the same value.
-    """
-    return F.pmod(F.pmod(F.col(id_col), F.lit(HASH_PRIME)) * F.lit(7919) + F.lit(seed),
-                  F.lit(HASH_PRIME))
+    """The leading 48 bits of md5("seed:id") as a long: any SQL engine computes the same value."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
-def kth_key(df: DataFrame, k: int, key_col: str, id_col: str, max_rows: int = 1 << 20,
-            buckets: int = 256) -> tuple | None:
-    """(key, id) of the k-th smallest row (1-based) in (key, id) order, or None if k < 1.
+def select_ranks(df: DataFrame, targets: dict[str, tuple[Column, int]], fan: int = FAN) -> dict:
+    """For each name the value at a rank (1-based, nulls left out) and the rank among its equals.
 
-    Each round is one pass over the remaining candidates (a filter that
-    pushes down) plus a histogram of at most ``buckets`` rows on the driver.
+    ``targets`` maps a name to (column expression, rank).  A rank outside the
+    column gives None.  Each round makes two passes for all targets together:
+    bounds (approximate quantiles; even steps for whole numbers that doubles
+    can't tell apart), then an exact count of the rows in, and between, them.
     """
-    if k < 1:
+    kinds = {n: df.select(c.alias("v")).schema["v"].dataType for n, (c, _) in targets.items()}
+    state = {n: {"rank": k, "lo": None, "hi": None} for n, (_, k) in targets.items() if k >= 1}
+    found: dict = {n: None for n in targets}
+    quantiles = [j / fan for j in range(1, fan)]
+
+    def inside(n: str) -> Column:
+        v, st = targets[n][0], state[n]
+        cond = v.isNotNull()
+        if st["lo"] is not None:
+            cond &= v > F.lit(st["lo"]).cast(kinds[n])
+        if st["hi"] is not None:
+            cond &= v < F.lit(st["hi"]).cast(kinds[n])
+        return F.when(cond, v)
+
+    while state:
+        names = list(state)
+        aggs = []
+        for n in names:
+            aggs.append(F.struct(F.min(inside(n)).alias("lo"), F.max(inside(n)).alias("hi"),
+                                 F.percentile_approx(inside(n), quantiles, 16 * fan).alias("q")).alias(f"s{len(aggs)}"))
+        stats = df.agg(*aggs).first()
+        cells, bounds = [], {}
+        for i, n in enumerate(names):
+            lo, hi, q = stats[i]["lo"], stats[i]["hi"], stats[i]["q"]
+            if lo is None:                       # fewer values than the rank
+                del state[n]
+                continue
+            whole = isinstance(kinds[n], T.IntegralType)
+            if whole and max(abs(lo), abs(hi)) >= EXACT_DOUBLE:
+                q = [lo + (hi - lo) * j // fan for j in range(fan + 1)]
+            bounds[n] = sorted({lo, hi, *q})
+            b = F.array(*[F.lit(x).cast(kinds[n]) for x in bounds[n]])
+            v = inside(n)
+            cells.append(F.struct(F.lit(i).alias("i"), _cell(b, v).alias("b")))
+        if not cells:
+            break
+        counts: dict = {}
+        for r in (df.select(F.explode(F.array(*cells)).alias("c")).where("c.b IS NOT NULL")
+                  .groupBy("c.i", "c.b").count().collect()):          # targets * (2 * fan + 5) rows at most
+            counts.setdefault(names[r["i"]], []).append((r["b"], r["count"]))
+        for n in list(state):
+            rank, edge = state[n]["rank"], bounds[n]
+            for b, c in sorted(counts[n]):
+                if rank <= c:
+                    if b % 2:                    # on a bound
+                        found[n] = (edge[b // 2], rank)
+                        del state[n]
+                    else:
+                        state[n] = {"rank": rank, "lo": edge[b // 2 - 1], "hi": edge[b // 2]}
+                    break
+                rank -= c
+            else:
+                del state[n]
+    return found
+
+
+def _cell(bounds: Column, v: Column) -> Column:
+    """2 j + 1 on the j-th bound, 2 j between bounds j - 1 and j; null for null."""
+    return F.when(v.isNotNull(), 2 * F.size(F.filter(bounds, lambda x: x < v))
+                  + F.array_contains(bounds, v).cast("int"))
+
+
+def kth_key(df: DataFrame, k: int, key_col: str, id_col: str, fan: int = FAN) -> tuple | None:
+    """(key, id) of the k-th smallest row (1-based) in (key, id) order, or None if there is none."""
+    at = select_ranks(df, {"key": (F.col(key_col), k)}, fan)["key"]
+    if at is None:
         return None
-    cand = df.select(F.col(key_col).alias("_k"), F.col(id_col).alias("_i")).filter(
-        F.col("_k").isNotNull())
-    level = "_k"
-    qs = [j / buckets for j in range(1, buckets)]
-    for _ in range(64):
-        # one pass: size, value range and bucket bounds of the remaining candidates
-        stats = cand.agg(F.count(F.lit(1)).alias("n"), F.min(level).alias("lo"),
-                         F.max(level).alias("hi"),
-                         F.percentile_approx(level, qs, 10 * buckets).alias("b")).first()
-        n = stats["n"]
-        if k > n:
-            return None
-        if n <= max_rows:
-            w = Window.partitionBy().orderBy("_k", "_i")  # over at most max_rows rows
-            r = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k).first()
-            return (r["_k"], r["_i"])
-        if stats["lo"] == stats["hi"]:
-            if level == "_i":  # ids are unique within a key; cannot happen with n > 1
-                raise ValueError("duplicate (key, id) pairs")
-            level = "_i"
-            continue
-        bounds = sorted(set(b for b in stats["b"] if stats["lo"] < b <= stats["hi"]))
-        # bucket j holds values in [bounds[j-1], bounds[j]): a compiled binary search
-        # (keys are integers below 2**53, exact as doubles)
-        from pyspark.ml.feature import Bucketizer
-        bz = Bucketizer(splits=[-math.inf] + [float(b) for b in bounds] + [math.inf],
-                        inputCol="_kd", outputCol="b")
-        keyed = bz.transform(cand.withColumn("_kd", F.col(level).cast("double")))
-        hist = sorted((int(r["b"]), r["count"]) for r in keyed.groupBy("b").count().collect())
-        before = 0
-        for b, c in hist:
-            if before + c >= k:
-                lo = bounds[b - 1] if b > 0 else None
-                hi = bounds[b] if b < len(bounds) else None
-                cond = F.lit(True)
-                if lo is not None:
-                    cond = cond & (F.col(level) >= F.lit(lo))
-                if hi is not None:
-                    cond = cond & (F.col(level) < F.lit(hi))
-                cand = cand.filter(cond)
-                k -= before
-                break
-            before += c
-    raise RuntimeError("selection did not converge")
+    key, rank = at
+    ties = df.where(F.col(key_col) == F.lit(key))
+    return key, select_ranks(ties, {"id": (F.col(id_col), rank)}, fan)["id"][0]
 
 
 def split_temporal(df: DataFrame, test_size: float = 0.2, time_col: str = "datetime",
-                   id_col: str = "record_id", out: str = "split",
-                   max_rows: int = 1 << 20) -> DataFrame:
+                   id_col: str = "record_id", out: str = "split") -> DataFrame:
     """Row 62: the oldest ``int(n * (1 - test_size))`` rows are ``train``, the rest ``test``.
 
     Ties in time are broken by ``id_col`` so the split is stable.
@@ -97,7 +122,7 @@ def split_temporal(df: DataFrame, test_size: float = 0.2, time_col: str = "datet
     k = int(n * (1 - test_size))
     us = F.unix_micros(F.col(time_col).cast("timestamp"))
     keyed = df.withColumn("_us", us)
-    cut = kth_key(keyed, k, "_us", id_col, max_rows=max_rows)
+    cut = kth_key(keyed, k, "_us", id_col)
     if cut is None:
         return df.withColumn(out, F.lit("test"))
     t, i = cut
@@ -105,27 +130,24 @@ def split_temporal(df: DataFrame, test_size: float = 0.2, time_col: str = "datet
     return df.withColumn(out, F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
 
 
-def rank_within_class(df: DataFrame, label_col: str, id_col: str, seed: int = 42,
-                      hash_buckets: int = 1 << 16) -> DataFrame:
+def rank_within_class(df: DataFrame, label_col: str, id_col: str, seed: int = 42) -> DataFrame:
     """Add ``_rank`` (1-based) inside each class in (hash, id) order, plus ``_n_class``.
 
-    Partitioned by (label, hash bucket); offsets of earlier buckets come from
-    a count table with one row per (label, bucket) (at most labels x 65,536 rows,
-    broadcast).  With 10^12 rows a bucket holds a few million rows, so even a class
-    with a third of all rows is sorted in many small tasks.
+    Partitioned by (label, hash bucket); offsets of earlier buckets come from a table
+    of counts per (label, bucket).  With 10^12 rows a bucket holds a few million rows,
+    so even a class with a third of all rows is sorted in many small tasks.  Rows
+    without a label are a class of their own.
     """
-    h = mix_hash(id_col, seed)
-    width = -(-HASH_PRIME // hash_buckets)
-    x = df.withColumns({"_h": h, "_hb": F.floor(h / F.lit(width)).cast("int")})
+    x = df.withColumn("_h", mix_hash(id_col, seed)).withColumn(
+        "_hb", F.shiftright("_h", HASH_BITS - BUCKET_BITS).cast("int"))
     counts = x.groupBy(label_col, "_hb").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(label_col).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(label_col, "_hb",
+    offs = counts.select(F.col(label_col).alias("_lab"), F.col("_hb").alias("_ob"),
                          F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"),
                          F.sum("_c").over(Window.partitionBy(label_col)).alias("_n_class"))
-    # (labels x buckets) rows: a proven bound, broadcast
-    x = x.join(F.broadcast(offs), [label_col, "_hb"])
+    x = x.join(offs, F.col(label_col).eqNullSafe(F.col("_lab")) & (F.col("_hb") == F.col("_ob")))
     w = Window.partitionBy(label_col, "_hb").orderBy("_h", id_col)
-    return x.withColumn("_rank", F.col("_off") + F.row_number().over(w)).drop("_hb", "_off")
+    return x.withColumn("_rank", F.col("_off") + F.row_number().over(w)).drop("_hb", "_off", "_lab", "_ob")
 
 
 def split_stratified(df: DataFrame, share: float = 0.2, label_col: str = "target",
@@ -153,7 +175,7 @@ def pick_split(df: DataFrame, name: str, split_col: str = "split") -> DataFrame:
     return df.filter(F.col(split_col) == name)
 
 
-def rank_rows(df: DataFrame, time_col: str, id_col: str, out: str = "position",
+def rank_rows(df: DataFrame, time_col: str | list[str], id_col: str, out: str = "position",
               ranges: int | None = None) -> DataFrame:
     """0-based position in (time, id) order without a single-partition window.
 
@@ -165,69 +187,49 @@ def rank_rows(df: DataFrame, time_col: str, id_col: str, out: str = "position",
     from ..session import materialize
     spark = df.sparkSession
     n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*([time_col] if isinstance(time_col, str) else time_col), id_col]
     # written once: the range of every row must be the same for the counts and the numbering
-    ranged = materialize(df.repartitionByRange(n_ranges, time_col, id_col).withColumn(
+    ranged = materialize(df.repartitionByRange(n_ranges, *order).withColumn(
         "_rng", F.spark_partition_id()))
     counts = ranged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy().orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_rng", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_rng").orderBy(time_col, id_col)
+    w = Window.partitionBy("_rng").orderBy(*order)
     return (ranged.join(F.broadcast(offs), "_rng")
                   .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
                   .drop("_rng", "_off"))
 
 
-def kth_value(df: DataFrame, col: str, k: int, max_rows: int = 1 << 20,
-              buckets: int = 256):
-    """The k-th smallest non-null value of ``col`` (1-based), by histogram refinement.
-
-    Same plan as :func:`kth_key` but on the value alone (ties need no id).
-    """
-    cand = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    qs = [j / buckets for j in range(1, buckets)]
-    for _ in range(64):
-        st = cand.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                      F.max("_v").alias("hi"),
-                      F.percentile_approx("_v", qs, 10 * buckets).alias("b")).first()
-        if k < 1 or k > st["n"]:
-            return None
-        if st["lo"] == st["hi"]:
-            return st["lo"]
-        if st["n"] <= max_rows:
-            w = Window.partitionBy().orderBy("_v")  # over at most max_rows rows
-            return cand.withColumn("_r", F.row_number().over(w)).filter(
-                F.col("_r") == k).first()["_v"]
-        bounds = sorted(set(b for b in st["b"] if st["lo"] < b <= st["hi"]))
-        from pyspark.ml.feature import Bucketizer
-        bz = Bucketizer(splits=[-math.inf] + [float(b) for b in bounds] + [math.inf],
-                        inputCol="_vd", outputCol="b")
-        hist = sorted((int(r["b"]), r["count"]) for r in bz.transform(
-            cand.withColumn("_vd", F.col("_v").cast("double"))).groupBy("b").count().collect())
-        before = 0
-        for b, c in hist:
-            if before + c >= k:
-                cond = F.lit(True)
-                if b > 0:
-                    cond = cond & (F.col("_v") >= F.lit(bounds[b - 1]))
-                if b < len(bounds):
-                    cond = cond & (F.col("_v") < F.lit(bounds[b]))
-                cand = cand.filter(cond)
-                k -= before
-                break
-            before += c
-    raise RuntimeError("selection did not converge")
+def kth_value(df: DataFrame, col: str, k: int, fan: int = FAN):
+    """The k-th smallest non-null value of ``col`` (1-based), or None."""
+    at = select_ranks(df, {"v": (F.col(col), k)}, fan)["v"]
+    return None if at is None else at[0]
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5) -> dict[str, float | None]:
+    """Exact quantiles with linear interpolation (as SQL ``percentile`` / ``quantile_cont``) of
+    several columns in shared passes; no column's values are gathered into one task."""
+    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    targets, place = {}, {}
+    for i, c in enumerate(cols):
+        if counts[i]:
+            place[c] = (counts[i] - 1) * q
+            lo = int(math.floor(place[c]))
+            targets[f"{i}:lo"] = (F.col(c), lo + 1)
+            if place[c] > lo:
+                targets[f"{i}:hi"] = (F.col(c), lo + 2)
+    got = select_ranks(df, targets) if targets else {}
+    out: dict[str, float | None] = {}
+    for i, c in enumerate(cols):
+        if c not in place:
+            out[c] = None
+            continue
+        low = float(got[f"{i}:lo"][0])
+        high = float(got[f"{i}:hi"][0]) if f"{i}:hi" in got else low
+        out[c] = low + (high - low) * (place[c] - math.floor(place[c]))
+    return out
 
 
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5):
-    """Exact quantile with linear interpolation (as SQL ``percentile`` / ``quantile_cont``),
-    without gathering the column's values into one task."""
-    n = df.filter(F.col(col).isNotNull()).count()
-    if n == 0:
-        return None
-    pos = (n - 1) * q
-    lo = int(math.floor(pos))
-    v_lo = kth_value(df, col, lo + 1)
-    if pos == lo:
-        return float(v_lo)
-    v_hi = kth_value(df, col, lo + 2)
-    return float(v_lo) + (float(v_hi) - float(v_lo)) * (pos - lo)
+    """:func:`exact_quantiles` of one column."""
+    return exact_quantiles(df, [col], q)[col]
