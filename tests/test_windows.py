@@ -149,14 +149,16 @@ def test_null_zone_is_one_zone(spark):
     check(spark, rows)
 
 
-def test_slot_choice_splits_a_burst(spark):
-    # 50 events of one zone inside one hour: with a budget of 10 rows per task the
-    # hour is too coarse and minute slots are chosen; answers do not change
+def test_a_burst_in_one_zone(spark):
     rows = [(i, 7, T0 + dt.timedelta(seconds=37 * i)) for i in range(50)] + [(99, 8, T0)]
-    df = make_df(spark, rows)
-    assert W.choose_slot(df, "cluster_id", "datetime", max_rows=10) == 60_000_000
-    assert W.choose_slot(df, "cluster_id", "datetime") == W.HOUR_US
-    check(spark, rows, slot_us=60_000_000)
+    check(spark, rows)
+    check(spark, rows, slot_us=W.HOUR_US)
+
+
+def test_rows_without_time_can_be_listed(spark):
+    df = make_df(spark, [(1, 1, T0), (2, 1, None)])
+    assert [r["record_id"] for r in W.rows_without_time(df).collect()] == [2]
+    assert W.historical_features(df).count() == 1
 
 
 def test_censored_flag(spark):

@@ -4,25 +4,25 @@ Skew-robust plan
 ----------------
 A window partitioned by zone alone sends a whole zone to one task; a hot
 zone holding a third of the rows would then be one enormous sort.  Instead
-the event-level work is partitioned by ``(zone, slot)`` where a slot is a
-fixed time bucket (one hour by default, a divisor of a day):
-
-1. ``U`` = the events plus, for every rolling width W, a copy of each event
-   shifted forward by W days.  One window over ``(zone, slot)`` ordered by
-   ``(us, kind, id)`` yields in-slot ranks, in-slot "shifted copies at or
-   before t" counts and the previous event inside the slot.
-2. A *slot ledger* (one row per zone and active slot, built with map-side
-   partial aggregation) carries per-zone running totals in slot order.  Its
-   size per zone is bounded by the time span / slot width, not by the data
-   volume, so its zone-partitioned window stays small even for a hot zone.
-3. A *day ledger* (one row per zone and active day) gives the distinct-day
-   counts with RANGE frames over the integer day number: active days wholly
-   inside a window plus two boundary-day tests on min/max time.
-4. Ledger features are joined back on ``(zone, slot)``; the big side is
-   already hash-partitioned on those keys, so only the ledger moves.
+the event-level work is partitioned by ``(zone, slot)`` where a slot is one
+minute, whatever the data:
+
+1. Every event, plus for every rolling width W a narrow copy shifted forward
+   by W days (one scan, one ``explode``).  A window over ``(zone, slot)``
+   ordered by ``(us, kind, id)`` yields in-slot ranks, in-slot "shifted copies
+   at or before t" counts and the previous event inside the slot.
+2. A *slot ledger* (a row per zone and active slot) with running totals inside
+   its zone and day: at most 1,440 rows a partition.
+3. A *day ledger* (a row per zone and active day) with running totals per
+   zone, and RANGE frames over the integer day number for the distinct-day
+   counts: active days wholly inside a window plus two boundary-day tests on
+   min / max time.  Its size is bounded by the number of days, not of events.
+4. Day totals are joined to slots on ``(zone, day)``, slots to events on
+   ``(zone, slot)``; the events are already partitioned on those keys.
 
 Every frame is on integers (microseconds ``us`` and days since the epoch),
-so strict bounds are exact and time zones cannot interfere.
+so strict bounds are exact and time zones cannot interfere.  Events of one
+zone in one minute share a task.
 """
 
 from __future__ import annotations
@@ -32,10 +32,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import DAY_US, floor_days_us
 
+SLOT_US = 60_000_000    # fixed value: one minute
 HOUR_US = 3_600_000_000
-# slot widths tried by the automatic choice, coarse to fine (each divides a day)
-SLOT_CHOICES = (HOUR_US, 60_000_000, 1_000_000, 1_000)
-MAX_SLOT_ROWS = 4_000_000  # rows one task sorts for the event-level window
 NO_PREVIOUS_DAYS = 999  # fixed value: "days since last" when a zone has no earlier event
 
 _P = "_zp_"  # prefix of internal columns
@@ -57,21 +55,9 @@ def _zone_key(df: DataFrame, zone_col: str) -> Column:
     return F.coalesce(F.col(zone_col).cast("string"), F.lit("\u0000null"))
 
 
-def choose_slot(df: DataFrame, zone_col: str, time_col: str,
-                max_rows: int = MAX_SLOT_ROWS) -> int:
-    """Widest slot whose busiest (zone, slot) holds at most ``max_rows`` events.
-
-    One aggregation per tried width (zone and time columns only, map-side
-    combined); usually only the hour is tried.
-    """
-    us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    for width in SLOT_CHOICES:
-        top = (df.filter(F.col(time_col).isNotNull())
-                 .groupBy(F.col(zone_col), F.floor(us / F.lit(width)).alias("_s")).count()
-                 .agg(F.max("count")).first()[0])
-        if top is None or top <= max_rows:
-            return width
-    return SLOT_CHOICES[-1]
+def rows_without_time(df: DataFrame, time_col: str = "datetime") -> DataFrame:
+    """The rows that window features leave out: their time is null (or could not be read)."""
+    return df.filter(F.col(time_col).isNull())
 
 
 def zone_window_features(
@@ -87,9 +73,11 @@ def zone_window_features(
     prev_event: bool = False,
     prev_row: bool = False,
     count_before_days: int | None = None,
-    slot_us: int | None = None,
+    sequence: bool = False,
+    slot_us: int = SLOT_US,
 ) -> DataFrame:
-    """Add window features; returns ``df`` (rows with a null time are dropped) plus:
+    """Add window features; returns ``df`` (rows with a null time are dropped, see
+    :func:`rows_without_time`) plus:
 
     * ``cnt_{W}d``: events in (t-W days, t] including self; an earlier row of a
       time tie does not see later ones (order ``time, id``)          [row 52]
@@ -100,40 +88,36 @@ def zone_window_features(
     * ``prev_us``: time (us) of the latest strictly earlier event, null if none [rows 32, 56]
     * ``prev_row_us``: time (us) of the previous row in (time, id) order [row 56b]
     * ``cnt_before_{d}d``: events in [t-d days, t)                      [row 31]
-
-    ``slot_us=None`` picks the slot width from the data (:func:`choose_slot`), so a
-    burst in one zone is split into finer slots instead of one large task.
+    * ``seq_in_zone``: 1-based position in (time, id) order             [row 60]
     """
-    if slot_us is None:
-        slot_us = choose_slot(df, zone_col, time_col)
     if DAY_US % slot_us:
         raise ValueError("slot_us must divide a day")
     i = id_col
-    Z, US, SLOT, DAY, KIND = _n("z"), _n("us"), _n("slot"), _n("day"), _n("kind")
-    base = df.filter(F.col(time_col).isNotNull()).withColumns({
-        US: F.unix_micros(F.col(time_col).cast("timestamp")), Z: _zone_key(df, zone_col)})
+    Z, US, SLOT, DAY, KIND, R = _n("z"), _n("us"), _n("slot"), _n("day"), _n("kind"), _n("r")
+    base = df.filter(F.col(time_col).isNotNull()).select(
+        F.struct(*df.columns).alias(_n("row")), F.col(i).alias(_n("id")), _zone_key(df, zone_col).alias(Z),
+        F.unix_micros(F.col(time_col).cast("timestamp")).alias(US))
+    i = _n("id")
 
     shift_days = sorted(set(rolling_days) | ({count_before_days} if count_before_days else set()))
     shift_cols = {w: _n(f"s{w}") for w in shift_days}
-
-    def slot_of(c: Column) -> Column:
-        return F.floor(c / F.lit(slot_us)).cast("bigint")
-
-    real = base.withColumns({SLOT: slot_of(F.col(US)), KIND: F.lit(1), _n("r"): F.lit(1),
-                             **{c: F.lit(0) for c in shift_cols.values()}})
-    u = real
-    for w, c in shift_cols.items():
-        sh = base.select(Z, i, (F.col(US) + F.lit(w * DAY_US)).alias(US))
-        sh = sh.withColumns({SLOT: slot_of(F.col(US)), KIND: F.lit(0), _n("r"): F.lit(0),
-                             **{cc: F.lit(1 if cc == c else 0) for cc in shift_cols.values()}})
-        u = u.unionByName(sh, allowMissingColumns=True)
+    if shift_days:
+        # the event itself (shift 0), and its narrow copies
+        u = base.withColumn(_n("w"), F.explode(F.array(*[F.lit(w) for w in (0, *shift_days)])))
+        real = F.col(_n("w")) == 0
+        u = u.withColumns({_n("row"): F.when(real, F.col(_n("row"))), US: F.col(US) + F.col(_n("w")).cast("bigint") * DAY_US,
+                           KIND: real.cast("int"), R: real.cast("int"),
+                           **{c: (F.col(_n("w")) == w).cast("int") for w, c in shift_cols.items()}}).drop(_n("w"))
+    else:
+        u = base.withColumns({KIND: F.lit(1), R: F.lit(1)})
+    u = u.withColumn(SLOT, F.floor((F.col(US) - F.pmod(F.col(US), F.lit(slot_us))) / F.lit(slot_us)).cast("bigint"))
 
     # ---- event-level window inside (zone, slot): the one shuffle of the big side ----------
     part = Window.partitionBy(Z, SLOT)
     w_rows = part.orderBy(US, KIND, i).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_prev = part.orderBy(US, KIND, i).rowsBetween(Window.unboundedPreceding, -1)
     w_lt = part.orderBy(US).rangeBetween(Window.unboundedPreceding, -1)
-    r = F.col(_n("r"))
+    r = F.col(R)
     real_us = F.when(r == 1, F.col(US))
     ev_cols = {_n("rank"): F.sum(r).over(w_rows)}
     for w, c in shift_cols.items():
@@ -146,56 +130,69 @@ def zone_window_features(
         ev_cols[_n("prev_in")] = F.max(real_us).over(w_lt)
     if prev_row:
         ev_cols[_n("prevrow_in")] = F.max(real_us).over(w_prev)
-    ev = u.withColumns(ev_cols).filter(r == 1)
+    ev = u.withColumns(ev_cols)
 
-    # ---- slot ledger (map-side partial aggregation): one row per zone and slot -------------
-    aggs = [F.sum(r).alias(_n("n_r")), F.max(real_us).alias(_n("max_us")),
-            F.min(real_us).alias(_n("min_us"))]
+    # ---- slot ledger: totals of a slot, and before it on its day ---------------------------
+    lag = bool(rolling_lag and rolling_days)
+    aggs = [F.sum(r).alias(_n("n")), F.max(real_us).alias(_n("max")), F.min(real_us).alias(_n("min"))]
     aggs += [F.sum(c).alias(c + "_n") for c in shift_cols.values()]
-    sl = u.groupBy(Z, SLOT).agg(*aggs)
-    zs = Window.partitionBy(Z).orderBy(SLOT)
-    zs_before = zs.rowsBetween(Window.unboundedPreceding, -1)
-    sl_cols = {_n("cum_r"): F.coalesce(F.sum(_n("n_r")).over(zs_before), F.lit(0)),
-               _n("prev_slot_max"): F.max(_n("max_us")).over(zs_before)}
-    for c in shift_cols.values():
-        sl_cols[c + "_cum"] = F.coalesce(F.sum(c + "_n").over(zs_before), F.lit(0))
-    sl = sl.withColumns(sl_cols).filter(F.col(_n("n_r")) > 0)
-
-    # ---- day-level frames on the same ledger: RANGE over the integer day number ----------
-    # an active day is counted once through its first active slot
-    need_days = bool(lookback_days) or future is not None or any_within_days is not None
+    if lag:     # shifted copies up to the slot's last event
+        aggs += [F.max(F.when(r == 1, F.col(c + "_le"))).alias(c + "_last") for c in shift_cols.values()]
+    sl = (ev if lag else u).groupBy(Z, SLOT).agg(*aggs).withColumn(
+        DAY, F.floor(F.col(SLOT) / F.lit(DAY_US // slot_us)).cast("bigint"))
+    in_day = Window.partitionBy(Z, DAY).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    sl = sl.withColumns({_n("in_r"): zero(_n("n"), in_day), _n("in_max"): F.max(_n("max")).over(in_day),
+                         **{c + "_in": zero(c + "_n", in_day) for c in shift_cols.values()}})
+    if lag:
+        sl = sl.withColumns({c + "_at": F.col(c + "_in") + F.col(c + "_last") for c in shift_cols.values()})
+        sl = sl.withColumns({c + "_inat": F.last(c + "_at", ignorenulls=True).over(in_day) for c in shift_cols.values()})
+
+    # ---- day ledger: totals of a day, and before it in its zone ----------------------------
+    aggs = [F.sum(_n("n")).alias(_n("n")), F.max(_n("max")).alias(_n("dmax")), F.min(_n("min")).alias(_n("dmin"))]
+    aggs += [F.sum(c + "_n").alias(c + "_n") for c in shift_cols.values()]
+    if lag:
+        aggs += [F.max_by(c + "_at", F.when(F.col(c + "_at").isNotNull(), F.col(SLOT))).alias(c + "_dat") for c in shift_cols.values()]
+    dl = sl.groupBy(Z, DAY).agg(*aggs)
+    zd = Window.partitionBy(Z).orderBy(DAY)
+    before = zd.rowsBetween(Window.unboundedPreceding, -1)
+    dcols = {_n("day_r"): zero(_n("n"), before), _n("day_max"): F.max(_n("dmax")).over(before),
+             **{c + "_day": zero(c + "_n", before) for c in shift_cols.values()}}
     horizons = []
     if future is not None:
         horizons.append(("f", future[0], future[1]))
     if any_within_days is not None:
         horizons.append(("a", any_within_days, 0))
-    if need_days:
-        sl = sl.withColumn(DAY, F.floor(F.col(SLOT) * F.lit(slot_us) / F.lit(DAY_US)).cast("bigint"))
-        sl = sl.withColumn(_n("first"), F.coalesce(
-            (F.lag(DAY).over(zs) != F.col(DAY)).cast("int"), F.lit(1)))
-        zd = Window.partitionBy(Z).orderBy(DAY)
-
-        def frame(lo: int, hi: int) -> Window:
-            return zd.rangeBetween(lo, hi)
-
-        days = F.col(_n("first"))
-        dcols = {_n("dmin"): F.min(_n("min_us")).over(frame(0, 0))}
-        for d in lookback_days:
-            dcols[_n(f"pfull{d}")] = (F.coalesce(F.sum(days).over(frame(-(d - 1), -1)), F.lit(0))
-                                      if d >= 2 else F.lit(0))
-            dcols[_n(f"pmax{d}")] = F.max(_n("max_us")).over(frame(-d, -d))
-        for tag, n_days, g in horizons:
-            if n_days > g:
-                dcols[_n(f"{tag}full")] = (
-                    F.coalesce(F.sum(days).over(frame(g + 1, n_days - 1)), F.lit(0))
-                    if n_days - 1 >= g + 1 else F.lit(0))
-                dcols[_n(f"{tag}gmax")] = F.max(_n("max_us")).over(frame(g, g))
-                dcols[_n(f"{tag}nmin")] = F.min(_n("min_us")).over(frame(n_days, n_days))
-        sl = sl.withColumns(dcols)
+    active = (F.col(_n("n")) > 0).cast("int")
+
+    def frame(lo: int, hi: int):
+        return zd.rangeBetween(lo, hi)
+
+    for d in lookback_days:
+        dcols[_n(f"pfull{d}")] = zero(active, frame(-(d - 1), -1)) if d >= 2 else F.lit(0)
+        dcols[_n(f"pmax{d}")] = F.max(_n("dmax")).over(frame(-d, -d))
+    for tag, n_days, g in horizons:
+        if n_days > g:
+            dcols[_n(f"{tag}full")] = zero(active, frame(g + 1, n_days - 1)) if n_days - 1 >= g + 1 else F.lit(0)
+            dcols[_n(f"{tag}gmax")] = F.max(_n("dmax")).over(frame(g, g))
+            dcols[_n(f"{tag}nmin")] = F.min(_n("dmin")).over(frame(n_days, n_days))
+    dl = dl.withColumns(dcols)
+    if lag:
+        dl = dl.withColumns({c + "_dat": F.col(c + "_dat") + F.col(c + "_day") for c in shift_cols.values()})
+        dl = dl.withColumns({c + "_dayat": F.last(c + "_dat", ignorenulls=True).over(before) for c in shift_cols.values()})
+
+    # ---- totals before each active slot, in its zone ----------------------------------------
+    led = sl.filter(F.col(_n("n")) > 0).join(dl.drop(_n("n"), _n("dmax"), *[c + x for c in shift_cols.values() for x in ("_n", "_dat")]), [Z, DAY])
+    keep = {_n("cum_r"): F.col(_n("in_r")) + F.col(_n("day_r")), _n("prev_slot_max"): F.coalesce(_n("in_max"), _n("day_max"))}
+    for c in shift_cols.values():
+        keep[c + "_cum"] = F.col(c + "_in") + F.col(c + "_day")
+        if lag:
+            keep[c + "_prev"] = F.coalesce(F.col(c + "_inat") + F.col(c + "_day"), F.col(c + "_dayat"))
+    days = [c for c in dl.columns if c.startswith((_n("dmin"), _n("pfull"), _n("pmax"), _n("f"), _n("a")))]
+    led = led.select(Z, SLOT, *[v.alias(k) for k, v in keep.items()], *days)
 
     # join back on (zone, slot): the big side is already partitioned on exactly these keys
-    out = ev.join(sl.drop(_n("n_r"), _n("max_us"), _n("min_us"),
-                          *[c + "_n" for c in shift_cols.values()]), [Z, SLOT], "left")
+    out = ev.filter(r == 1).join(led, [Z, SLOT], "left")
 
     t = F.col(US)
     new = {}
@@ -228,23 +225,16 @@ def zone_window_features(
         new["prev_us"] = F.coalesce(F.col(_n("prev_in")), F.col(_n("prev_slot_max")))
     if prev_row:
         new["prev_row_us"] = F.coalesce(F.col(_n("prevrow_in")), F.col(_n("prev_slot_max")))
+    if sequence:
+        new["seq_in_zone"] = (F.col(_n("cum_r")) + F.col(_n("rank"))).cast("int")
     out = out.withColumns(new)
-
-    if rolling_lag and rolling_days:
-        # previous row's count: inside the slot a plain lag; for the first row of a
-        # slot, the last row of the previous active slot (slot ledger, lagged)
+    if lag:
+        # the previous row's count: inside the slot a plain lag; for the first row of a slot
+        # the events up to the last earlier one, less their shifted copies (from the ledgers)
         wl = Window.partitionBy(Z, SLOT).orderBy(US, i)
-        out = out.withColumns({f"lag_cnt_{w}d": F.lag(f"cnt_{w}d").over(wl) for w in rolling_days})
-        last = out.groupBy(Z, SLOT).agg(*[
-            F.max_by(f"cnt_{w}d", F.struct(US, i)).alias(_n(f"last{w}")) for w in rolling_days])
-        zl = Window.partitionBy(Z).orderBy(SLOT)
-        last = last.select(Z, SLOT, *[F.lag(_n(f"last{w}")).over(zl).alias(_n(f"plast{w}"))
-                                      for w in rolling_days])
-        out = out.join(last, [Z, SLOT], "left").withColumns({
-            f"lag_cnt_{w}d": F.coalesce(F.col(f"lag_cnt_{w}d"), F.col(_n(f"plast{w}")))
-            for w in rolling_days})
-
-    return out.drop(*[c for c in out.columns if c.startswith(_P)])
+        out = out.withColumns({f"lag_cnt_{w}d": F.when(F.col(_n("rank")) > 1, F.lag(f"cnt_{w}d").over(wl)).otherwise(
+            (F.col(_n("cum_r")) - F.col(shift_cols[w] + "_prev")).cast("bigint")) for w in rolling_days})
+    return out.select(f"{_n('row')}.*", *[c for c in out.columns if not c.startswith(_P)])
 
 
 # ---- user-level operators (one per inventory row) ------------------------------------

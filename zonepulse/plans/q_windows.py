@@ -152,11 +152,9 @@ SELECT record_id, zone_id, datetime,
   CAST(row_number() OVER (PARTITION BY zone_id ORDER BY datetime, record_id) AS INTEGER) AS seq_in_zone
 FROM orders_ev""", ("orders_ev",))
 def sort_zone_time(spark, sf):
-    from pyspark.sql import Window
-    df = _v(spark, sf, "orders_ev")
     # the per-zone sequence number is the sort made visible; output is range-sorted
-    seq = F.row_number().over(Window.partitionBy("zone_id").orderBy("datetime", "record_id"))
-    return df.withColumn("seq_in_zone", seq).orderBy("zone_id", "datetime", "record_id")
+    df = W.zone_window_features(_v(spark, sf, "orders_ev"), "zone_id", sequence=True)
+    return df.orderBy("zone_id", "seq_in_zone")
 
 
 @register("setop_union_groups", """
