@@ -78,13 +78,13 @@ def year_quarter_counts(df: DataFrame, time_col: str = "datetime") -> DataFrame:
 def cluster_counts(df: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
     """Row 40: per cluster (ordered by id), with number of clusters, largest and smallest.
 
+    One pass over the rows; the window runs over the grouped table (a row per cluster).
     """
     per = df.groupBy(cluster_col).agg(_count().alias("n"))
-    # three scalars from a tree aggregate, attached as literals (no join, no global window)
-    tot = per.agg(F.count(F.lit(1)).alias("n_clusters"), F.max("n").alias("largest"),
-                  F.min("n").alias("smallest")).first()
-    return per.withColumns({c: F.lit(tot[c]).cast("bigint")
-                            for c in ("n_clusters", "largest", "smallest")}).orderBy(cluster_col)
+    w = Window.partitionBy()
+    return per.select(cluster_col, "n", F.count(F.lit(1)).over(w).alias("n_clusters"),
+                      F.max("n").over(w).alias("largest"), F.min("n").over(w).alias("smallest")
+                      ).orderBy(cluster_col)
 
 
 def cluster_month_pivot(df: DataFrame, cluster_col: str = "cluster_id",
@@ -158,26 +158,22 @@ def data_summary(df: DataFrame, time_col="datetime", lat="latitude", lon="longit
 
 
 def in_time_order(df: DataFrame, order_col: str = "record_id", time_col: str = "datetime",
-                  block: int = 1 << 16) -> DataFrame:
+                  bits: int = 16) -> DataFrame:
     """One row ``chronological_order``: time never decreases along ``order_col``.
 
-    No global window: rows are checked against their predecessor inside
-    fixed id blocks (window per block), and block boundaries through a
-    block ledger self-joined on ``block + 1`` (equi-join, distributed).
+    No global window: a row is checked against its predecessor inside its block of
+    ``2**bits`` ids, then the blocks that have rows against each other inside blocks of
+    blocks, and so on until one block spans all 64-bit ids.
     """
-    t = F.col(time_col)
-    b = F.floor(F.col(order_col) / F.lit(block)).alias("_b")
-    x = df.select(b, F.col(order_col).alias("_o"), t.alias("_t"))
-    w = Window.partitionBy("_b").orderBy("_o")
-    inner = x.withColumn("_bad", F.coalesce(F.col("_t") < F.lag("_t").over(w), F.lit(False))
-                         | F.col("_t").isNull())
-    led = inner.groupBy("_b").agg(F.max("_bad").alias("_bad"),
-                                  F.min_by("_t", "_o").alias("_first"),
-                                  F.max_by("_t", "_o").alias("_last"))
-    nxt = led.select((F.col("_b") - 1).alias("_b"), F.col("_first").alias("_next_first"))
-    j = led.join(nxt, "_b", "left")
-    bad = F.col("_bad") | F.coalesce(F.col("_next_first") < F.col("_last"), F.lit(False))
-    return j.agg(F.coalesce(F.bool_and(~bad), F.lit(True)).alias("chronological_order"))
+    t, o = F.col(time_col), F.col(order_col).cast("bigint")
+    led = df.select(o.alias("_o"), t.alias("_first"), t.alias("_last"), t.isNull().alias("_bad"))
+    for _ in range(-(-64 // bits)):
+        led = led.withColumn("_b", F.shiftright("_o", bits))
+        w = Window.partitionBy("_b").orderBy("_o")
+        led = led.withColumn("_bad", F.col("_bad") | F.coalesce(F.col("_first") < F.lag("_last").over(w), F.lit(False)))
+        led = led.groupBy("_b").agg(F.max("_bad").alias("_bad"), F.min_by("_first", "_o").alias("_first"),
+                                    F.max_by("_last", "_o").alias("_last")).withColumnRenamed("_b", "_o")
+    return led.agg(F.coalesce(F.bool_and(~F.col("_bad")), F.lit(True)).alias("chronological_order"))
 
 
 def combine_rows(*parts: DataFrame) -> DataFrame:
@@ -203,6 +199,7 @@ def quality_checks(df: DataFrame, lat="latitude", lon="longitude", time_col="dat
     A missing required column gives ``has_required_columns = false`` and null
     for the checks that need it (the reference raised there).
     """
+    # fixed values: the names of the checks
     names = ["has_required_columns", "no_missing_coordinates", "valid_coordinate_ranges",
              "no_missing_timestamps", "chronological_order", "reasonable_sample_size",
              "within_kenya_bounds"]
@@ -240,20 +237,23 @@ def kpis(df: DataFrame, time_col="datetime", cluster_col="cluster_id",
     if area_col in df.columns:
         panels["area"] = F.col(area_col)
     g = panel_counts(df, panels)
-    day = g.filter(F.col("panel") == "daily")
-    parts = [day.agg(F.sum("n").alias("total_outages"), F.min("key").alias("date_start"),
-                     F.max("key").alias("date_end"), F.avg("n").alias("avg_daily"),
-                     # the earliest day wins a tie, like idxmax over date-sorted groups
-                     F.min_by("key", F.struct(-F.col("n"), F.col("key"))).alias("peak_day"),
-                     F.max("n").alias("peak_count"))]
+
+    def on(panel: str, value: Column) -> Column:
+        return F.when(F.col("panel") == panel, value)
+
+    n, key = F.col("n"), F.col("key")
+    aggs = [F.sum(on("daily", n)).alias("total_outages"), F.min(on("daily", key)).alias("date_start"),
+            F.max(on("daily", key)).alias("date_end"), F.avg(on("daily", n)).alias("avg_daily"),
+            # the earliest day wins a tie, like idxmax over date-sorted groups
+            F.min_by(key, on("daily", F.struct(-n, key))).alias("peak_day"),
+            F.max(on("daily", n)).alias("peak_count")]
     if "clusters" in panels:
-        parts.append(g.filter(F.col("panel") == "clusters").agg(
-            F.count("key").alias("n_clusters")))
+        aggs.append(F.count(on("clusters", key)).alias("n_clusters"))
     if "area" in panels:
-        a = g.filter((F.col("panel") == "area") & F.col("key").isNotNull())
-        parts.append(a.agg(F.min_by("key", F.struct(-F.col("n"), F.col("key"))).alias("top_area"),
-                           F.max("n").alias("top_area_count")))
-    return combine_rows(*parts)
+        named = F.when(key.isNotNull(), F.struct(-n, key))
+        aggs += [F.min_by(key, on("area", named)).alias("top_area"),
+                 F.max(on("area", F.when(key.isNotNull(), n))).alias("top_area_count")]
+    return g.agg(*aggs)
 
 
 def basic_stats(df: DataFrame, time_col="datetime", cluster_col="cluster_id",
@@ -316,21 +316,19 @@ def mode_peaks(df: DataFrame, time_col="datetime", cluster_col="cluster_id",
         panels["cluster"] = F.col(cluster_col)
     g = panel_counts(df, panels)
 
-    def top(panel: str, cast: str | None = None):
-        rows = g.filter((F.col("panel") == panel) & F.col("key").isNotNull())
-        k = F.col("key").cast(cast) if cast else F.col("key")
-        return rows, F.min_by(k, F.struct(-F.col("n"), k))
+    def top(panel: str, cast: str = "string") -> Column:
+        k = F.col("key").cast(cast)
+        here = (F.col("panel") == panel) & F.col("key").isNotNull()
+        return F.min_by(F.when(here, k), F.when(here, F.struct(-F.col("n"), F.when(here, k))))
 
-    dow, dtop = top("dow", "int")
-    mon, mtop = top("month", "int")
-    parts = [dow.agg(dtop.alias("top_day_of_week")), mon.agg(mtop.alias("top_month"))]
+    aggs = [top("dow", "int").alias("top_day_of_week"), top("month", "int").alias("top_month")]
     if "season" in panels:
-        sea, stop = top("season")
-        parts.append(sea.agg(stop.alias("peak_season"), F.max("n").alias("peak_season_count")))
+        aggs += [top("season").alias("peak_season"),
+                 F.max(F.when((F.col("panel") == "season") & F.col("key").isNotNull(), F.col("n"))).alias("peak_season_count")]
     if "cluster" in panels:
-        cl = g.filter((F.col("panel") == "cluster") & F.col("key").isNotNull())
-        parts.append(cl.agg(F.count("key").alias("n_clusters"), F.max("n").alias("largest_cluster")))
-    return combine_rows(*parts)
+        here = F.when((F.col("panel") == "cluster") & F.col("key").isNotNull(), F.col("n"))
+        aggs += [F.count(here).alias("n_clusters"), F.max(here).alias("largest_cluster")]
+    return g.agg(*aggs)
 
 
 def target_stats(df: DataFrame, target_col="target", future_col="future_outage_days",

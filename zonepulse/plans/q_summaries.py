@@ -181,7 +181,7 @@ def agg_quality_checks_unordered(spark, sf):
     return S.quality_checks(df)
 
 
-@register("agg_kpis", f"""
+KPI_SQL = f"""
 WITH d AS (SELECT CAST(datetime AS DATE) AS date, count(*) AS n FROM {OUT_C} GROUP BY 1),
      a AS (SELECT area, count(*) AS n FROM {OUT_C} GROUP BY 1)
 SELECT CAST((SELECT sum(n) FROM d) AS BIGINT) AS total_outages,
@@ -192,7 +192,10 @@ SELECT CAST((SELECT sum(n) FROM d) AS BIGINT) AS total_outages,
   CAST((SELECT max(n) FROM d) AS BIGINT) AS peak_count,
   CAST((SELECT count(DISTINCT cluster_id) FROM {OUT_C}) AS BIGINT) AS n_clusters,
   (SELECT area FROM a ORDER BY n DESC, area LIMIT 1) AS top_area,
-  CAST((SELECT max(n) FROM a) AS BIGINT) AS top_area_count""", ("outages",))
+  CAST((SELECT max(n) FROM a) AS BIGINT) AS top_area_count"""
+
+
+@register("agg_kpis", KPI_SQL, ("outages",))
 def agg_kpis(spark, sf):
     return S.kpis(_outages_c(spark, sf)).withColumn("avg_daily", F.col("avg_daily"))
 
