@@ -82,3 +82,32 @@ def test_json_lines_and_sinks(spark, tmp_dir):
 def test_model_save_load_refuses_unfitted(tmp_dir):
     with pytest.raises(ValueError):
         sinks.save_model(None, os.path.join(tmp_dir, "m"), {})
+
+
+def test_positions_go_on_through_several_array_files(spark, tmp_dir):
+    rec = {"coordinates": {"latitude": -1.0, "longitude": 36.0}, "isoDate": "2024-01-05T10:00:00.000Z"}
+    for name in ("a.json", "b.json"):
+        write(tmp_dir, name, json.dumps([rec] * 3))
+    recs, _ = R.scan_flatten_validate(spark, os.path.join(tmp_dir, "*.json"))
+    assert sorted(r["record_id"] for r in recs.collect()) == list(range(6))
+
+
+def test_broken_lines_and_null_ids_are_rejected(spark, tmp_dir):
+    good = {"coordinates": {"latitude": -1.0, "longitude": 36.0}, "isoDate": "2024-01-05T10:00:00.000Z"}
+    p = write(tmp_dir, "r.jsonl", "\n".join([json.dumps({**good, "record_id": 7}), "{broken", json.dumps(good)]))
+    recs, rej = R.scan_flatten_validate(spark, p, "json_lines")
+    assert [r["record_id"] for r in recs.collect()] == [7]
+    assert sorted(r["reason"] for r in rej.collect()) == ["malformed", "missing_id"]
+
+
+def test_renumbered_scan_is_sorted(spark, tmp_dir):
+    rows = [{"record_id": i, "isoDate": f"2024-01-{1 + (i * 7) % 28:02d}T10:00:00.000Z" if i % 9 else None} for i in range(300)]
+    p = write(tmp_dir, "s.jsonl", "\n".join(json.dumps(r) for r in rows))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = R.scan_sorted(spark, p, "json_lines", renumber=True).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert [r["position"] for r in got] == list(range(300))
+    keys = [(r["datetime"] is None, str(r["datetime"]), r["record_id"]) for r in got]
+    assert keys == sorted(keys)

@@ -2,7 +2,8 @@
 
 The library never hard-codes a scratch location: checkpoints go to the
 shared folder the cluster names in ``spark.checkpoint.dir``.  Only when
-that setting is absent (local tests) do we pick a folder ourselves.
+that setting is absent and the master is local (tests) do we pick a folder
+ourselves; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when the frames that read them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,8 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, honouring ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (HDFS / object store) folder
-    and is used as is.  Only if it is unset (unit tests, laptops) do we
-    create a private temporary folder.
+    and is used as is.  Only if it is unset and the master is ``local`` (unit
+    tests, laptops) do we create a private temporary folder; executors of a
+    cluster could not see it, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="zonepulse-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

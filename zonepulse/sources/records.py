@@ -44,10 +44,28 @@ def _require(spark: SparkSession, path: str) -> None:
 def scan_json_array(spark: SparkSession, path: str, fmt: str = "json_array") -> DataFrame:
     """Row 1: read raw records (``json_array``, ``json_lines`` or ``parquet``) with a fixed schema."""
     _require(spark, path)
-    schema = RECORD_SCHEMA
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return spark.read.schema(schema).json(path, multiLine=(fmt == "json_array"))
+    return spark.read.schema(RECORD_SCHEMA).json(path, multiLine=(fmt == "json_array"))
+
+
+def _array_elements(spark: SparkSession, path: str) -> DataFrame:
+    """``record_id``, ``e``: each element of the array files as JSON text, numbered through all files.
+
+    An array file is one value in one task (the format can't be split; 2 GB at most).  Positions
+    go on from file to file in the order of their paths: the counts per file (a row each) are
+    added up in a window over the files.
+    """
+    from pyspark.sql import Window
+    doc = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("_file"), F.from_json("value", "array<string>").alias("a"))
+    per = doc.select("_file", F.size("a").alias("_n"), F.col("a").isNull().alias("_bad"))
+    before = Window.partitionBy().orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    if not per.where("_bad").isEmpty():
+        raise ValueError("Invalid JSON format: expected a JSON array of records")
+    offs = per.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (doc.join(offs, "_file").select("_off", F.posexplode("a").alias("_pos", "e"))
+            .select((F.col("_off") + F.col("_pos")).cast("bigint").alias("record_id"), "e"))
 
 
 def scan_flatten_validate(spark: SparkSession, path: str, fmt: str = "json_array"):
@@ -59,25 +77,23 @@ def scan_flatten_validate(spark: SparkSession, path: str, fmt: str = "json_array
     """
     _require(spark, path)
     if fmt == "json_array":
-        doc = spark.read.text(path, wholetext=True)
-        # parse the array into element *strings* first: a malformed element then
-        # nulls only itself, and a non-array document gives a null array
-        arr = doc.select(F.from_json("value", "array<string>").alias("a"),
-                         F.input_file_name().alias("_file"))
-        bad = arr.filter(F.col("a").isNull()).limit(1).count()
-        if bad:
-            raise ValueError("Invalid JSON format: expected a JSON array of records")
-        elems = arr.select(F.posexplode("a").alias("record_id", "e"))
+        # array elements first become *strings*: a malformed element then nulls only itself
+        elems = _array_elements(spark, path)
         # only JSON objects are records; any other element (string, number, array) is malformed
         is_obj = F.substring(F.ltrim("e"), 1, 1) == F.lit("{")
-        parsed = elems.select(F.col("record_id").cast("bigint").alias("record_id"),
-                              F.when(is_obj, F.from_json("e", RECORD_SCHEMA)).alias("r"))
+        parsed = elems.select("record_id", F.when(is_obj, F.from_json("e", RECORD_SCHEMA)).alias("r"))
+    elif fmt == "json_lines":
+        # a broken line is kept as text in its own column, and is malformed
+        schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+        raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        parsed = raw.select("record_id", F.when(F.col("_corrupt").isNull(), F.struct(*RECORD_SCHEMA.names)).alias("r"))
     else:
         raw = scan_json_array(spark, path, fmt)
         parsed = raw.select(F.col("record_id"), F.struct(*raw.columns).alias("r"))
     lat, lon = F.col("r.coordinates.latitude"), F.col("r.coordinates.longitude")
     iso = F.col("r.isoDate")
     reason = (F.when(F.col("r").isNull(), F.lit("malformed"))
+               .when(F.col("record_id").isNull(), F.lit("missing_id"))
                .when(lat.isNull() | lon.isNull() | iso.isNull(), F.lit("missing_field"))
                .when(parse_time(iso).isNull(), F.lit("bad_time")))
     tagged = parsed.withColumn("_reason", reason)
@@ -104,15 +120,17 @@ def scan_sorted(spark: SparkSession, path: str, fmt: str = "json_array",
     except AnalysisException as e:  # pragma: no cover - surfaced as a clear error
         raise FileNotFoundError(str(e)) from e
     if fmt == "json_array":
-        df = df.withColumn("record_id", F.coalesce(
-            F.col("record_id"), F.monotonically_increasing_id()))
+        elems = _array_elements(spark, path)
+        df = elems.select("record_id", F.from_json("e", RECORD_SCHEMA).alias("r")).select(
+            *[F.col(f"r.{c}").alias(c) for c in RECORD_SCHEMA.names if c != "record_id"],
+            F.coalesce("r.record_id", "record_id").alias("record_id"))
     if "isoDate" in df.columns:
         df = df.withColumn("datetime", parse_time(F.col("isoDate")))
-    out = df.orderBy(F.col("datetime").asc_nulls_last(), "record_id")
     if renumber:
         from ..operators.splits import rank_rows
-        out = rank_rows(out, "datetime", "record_id", "position")
-    return out
+        late = df.withColumn("_late", F.col("datetime").isNull())
+        return rank_rows(late, ["_late", "datetime"], "record_id", "position").drop("_late").orderBy("position")
+    return df.orderBy(F.col("datetime").asc_nulls_last(), "record_id")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
