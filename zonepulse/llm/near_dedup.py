@@ -7,7 +7,8 @@
    shared prefix is their depth.  A region (one prefix) of at most ``LEAF`` classes
    is a leaf and its neighbours are candidates; a larger region is cut at the next
    depth of ``DEPTHS``, so the depth adapts to each region's density.  Dense
-   regions that are deep (``STAR`` and beyond) also tie all their members to one.
+   regions that are deep (``STAR`` and beyond) tie all their members to one, and
+   leaves inside them only add neighbours to that.
 3. Candidates whose signatures agree in at least ``ROUGH`` of the values are
    edges; their components are clusters.  Clusters only gather what must be
    compared, and decide nothing.
@@ -18,8 +19,8 @@
    leave a task, never all pairs of a group.
 
 Two texts above the threshold are missed only if no chain of candidates puts
-them into one cluster.  At similarity 0.8 a pair shares a prefix of 4 values in
-one of 32 orders but for 5 in 10**8 cases, of 6 values but for 6 in 10**5.
+them into one cluster.  At similarity 0.8 a pair shares a prefix of 5 values in
+one of 32 orders but for 3 in 10**6 cases, of 7 values but for 6 in 10**4.
 
 Edge cases: null and blank texts have an empty set and are linked with nothing;
 shorter texts than a shingle are one shingle; rows with null ids take part, and a
@@ -38,14 +39,15 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
-SIG = 128
 TREES = 32
-DEPTHS = (4, 6, 8, 10, 12, 16)
-STAR = 8
+FIRST = 5               # values of its own that each tree starts with
+SIG = TREES * FIRST
+DEPTHS = (5, 7, 9, 12, 16, 20)
+STAR = 9
 LEAF = 16
 SHORT = 64              # signature bytes that estimate a candidate's similarity
 ROUGH = 0.55
-CHUNK = 512
+CHUNK = 256
 PIVOTS = 8
 CELL_BITS = 20
 KNOWN_WORDS = 1 << 18
@@ -95,9 +97,9 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _order(tree: int) -> np.ndarray:
-    """The signature places of a tree, 16 deep: its own four values, then those of other trees."""
+    """The signature places of a tree, 20 deep: its own five values, then those of other trees."""
     groups = [(tree + shift) % TREES for shift in (0, 7, 13, 22)]
-    return np.concatenate([np.arange(4 * g, 4 * g + 4) for g in groups])
+    return np.concatenate([np.arange(FIRST * g, FIRST * g + FIRST) for g in groups])
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -121,19 +123,20 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """One row a class and tree: cls, tree, k (hash of the tree and its first four values)."""
+    """One row a class and tree: cls, tree, k (hash of the tree and its first values)."""
     def run(batches):
         import pyarrow as pa
-        orders = np.array([_order(t)[:4] for t in range(TREES)])
+        orders = np.array([_order(t)[:FIRST] for t in range(TREES)])
         trees = np.arange(TREES, dtype=np.uint64) * np.uint64(MIX[2])
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)
-            first = np.ascontiguousarray(sig[:, orders]).view(np.uint64)[:, :, 0]
-            k = (first ^ trees) * np.uint64(MIX[0])
-            k ^= k >> np.uint64(32)
-            k *= np.uint64(MIX[1])
+            own = sig[:, orders].astype(np.uint64)
+            k = np.broadcast_to(trees, own.shape[:2])
+            for i in range(FIRST):
+                k = (k ^ own[:, :, i]) * np.uint64(MIX[0])
+                k = k ^ (k >> np.uint64(32))
             at = np.repeat(np.arange(batch.num_rows), TREES)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cls").take(pa.array(at)), pa.array(np.tile(np.arange(TREES, dtype=np.int32), batch.num_rows)),
@@ -142,10 +145,10 @@ def _entries(classes: DataFrame) -> DataFrame:
 
 
 def _deeper(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries with ``rest``: the 12 values of their tree's order behind the first four."""
+    """Entries with ``rest``: the values of their tree's order behind the first ones."""
     def run(batches):
         import pyarrow as pa
-        orders = np.array([_order(t)[4:] for t in range(TREES)])
+        orders = np.array([_order(t)[FIRST:] for t in range(TREES)])
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -163,16 +166,17 @@ def forest_pairs(classes: DataFrame, leaf: int = LEAF) -> DataFrame:
     at, rest = _entries(classes), None
     for level, depth in enumerate(DEPTHS):
         if level:
-            start = 2 * (depth - 4)         # bytes of ``rest`` that this depth has used up
-            before = 2 * (DEPTHS[level - 1] - 4)
+            start = 2 * (depth - FIRST)     # bytes of ``rest`` that this depth has used up
+            before = 2 * (DEPTHS[level - 1] - FIRST)
             at = at.withColumn("k", F.xxhash64("k", F.substring("rest", before + 1, start - before)))
         regions = at.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("low")).where("c > 1")
         kept = at.join(scratch_table(regions, "forest_regions"), "k")
         kept = scratch_table(kept, "forest_entries")
-        small = (kept.where(F.col("c") <= leaf).groupBy("k").agg(F.collect_set("cls").alias("all"))
-                 .select("all", F.explode("all").alias("a"))
-                 .select("a", F.explode(F.filter("all", lambda x: x > F.col("a"))).alias("b")))
-        pairs.append(small)
+        small = (kept.where(F.col("c") <= leaf).groupBy("k").agg(F.sort_array(F.collect_list("cls")).alias("all"))
+                 .select("all", F.posexplode("all").alias("i", "a")))
+        # inside a region that is tied together already, the next one is neighbour enough
+        width = leaf if depth <= STAR else 1
+        pairs.append(small.select("a", F.explode(F.slice("all", F.col("i") + 2, F.lit(width))).alias("b")))
         if depth >= STAR:
             pairs.append(kept.where((F.col("c") > leaf) & (F.col("cls") > F.col("low"))).select(F.col("low").alias("a"), F.col("cls").alias("b")))
         dense = kept.where(F.col("c") > leaf).drop("c", "low")
