@@ -13,8 +13,8 @@ at a line and those that end at one.  Two overlapping ranks name such a run of
 any length.  The occurrence in the smallest (doc_id, line) stays, and all later ones
 are deleted; a copy that overlaps its first occurrence loses what lies beyond it.
 
-Only narrow rows (document key, line, rank) are shuffled and ranks that repeat
-are pre-aggregated.  A text moves only if it may lose lines.
+Only narrow rows (document key, line, rank) are shuffled, and the runs' first
+places are pre-aggregated.  A text moves only if it may lose lines.
 
 Edge cases: null text has no lines and stays null; blank lines belong to runs but
 hold no words; null ids come after all ids; rows that repeat id and text are one
@@ -71,53 +71,56 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     return docs.select("key", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, LINES)
 
 
-def _repeated(rows: DataFrame, rank: str) -> DataFrame:
-    """The rows whose ``rank`` another row shares."""
-    many = rows.groupBy(rank).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(rank)
-    return rows.join(scratch_table(many, "line_ranks"), rank)
-
-
 def _named(*parts):
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The rows whose ``rank`` another row shares.
+
+    The shared ranks are counted with pre-aggregation and written; the join has exchanges
+    on both sides, so adaptive execution splits the rows of a hot rank.
+    """
+    many = rows.groupBy("rank").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("rank")
+    return rows.join(scratch_table(many, "line_shared"), "rank")
+
+
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """key, start, end of the later copies, a row for each smallest run; ``docs`` has key, doc_id, text."""
     lines = scratch_table(_lines(docs, min_words), "line_rows")
-    active = scratch_table(_repeated(lines, "h").dropDuplicates(["key", "line"]), "line_active")
-    runs = (active.select("key", "doc_id", F.col("line").alias("start"), F.col("ahead").alias("len")).where("len > 0")
-            .union(active.where("back > 0").select("key", "doc_id", (F.col("line") - F.col("back") + 1), "back")).distinct())
-    runs = scratch_table(runs, "line_runs")
-    ranks = active.select("key", "line", F.col("h").alias("rank"))
-    longest = runs.agg(F.max("len")).first()[0] or 0
-    size, later = 1, None
-    while size <= longest:
-        # runs of size to 2 * size - 1 lines are named by the ranks at their first and last ``size`` lines
-        own = runs.where((F.col("len") >= size) & (F.col("len") < 2 * size))
-        first = ranks.select("key", F.col("line").alias("start"), F.col("rank").alias("r1"))
-        last = ranks.select("key", F.col("line").alias("tail"), F.col("rank").alias("r2"))
-        named = (own.withColumn("tail", F.col("start") + F.col("len") - size)
-                 .join(first, ["key", "start"]).join(last, ["key", "tail"])
-                 .select("key", "doc_id", "start", "len", _named("r1", "r2", F.col("len").cast("string").cast("binary")).alias("run")))
-        named = scratch_table(named, "line_named")
-        place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "start")
-        firsts = (named.groupBy("run").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
-                  .select("run", F.col("f.key").alias("fkey"), F.col("f.start").alias("fstart")))
-        same = F.col("key") == F.col("fkey")
-        copies = (named.join(scratch_table(firsts, "line_firsts"), "run").where(~(same & (F.col("start") == F.col("fstart"))))
-                  .select("key", F.when(same, F.greatest("start", F.col("fstart") + F.col("len"))).otherwise(F.col("start")).alias("start"),
-                          (F.col("start") + F.col("len")).alias("end")))
-        later = copies if later is None else later.union(copies)
+    active = scratch_table(_repeated(lines.withColumnRenamed("h", "rank")).dropDuplicates(["key", "line"]), "line_ranks")
+    longest = active.agg(F.max(F.greatest("ahead", "back"))).first()[0] or 0
+    # prefix doubling: the ranks of all suffixes for 1, 2, 4, ... lines, while something repeats
+    ranks = active.select("key", "line", "rank")
+    levels, size = [ranks.withColumn("size", F.lit(1))], 1
+    while 2 * size <= longest:
+        ahead = ranks.select("key", (F.col("line") - size).alias("line"), F.col("rank").alias("next"))
+        longer = ranks.join(ahead, ["key", "line"]).select("key", "line", _named("rank", "next").alias("rank"))
+        ranks = scratch_table(_repeated(longer), "line_ranks")
         size *= 2
-        if size <= longest:
-            ahead = ranks.select("key", (F.col("line") - size // 2).alias("line"), F.col("rank").alias("next"))
-            longer = ranks.join(ahead, ["key", "line"]).select("key", "line", _named("rank", "next").alias("rank"))
-            ranks = scratch_table(_repeated(scratch_table(longer, "line_longer"), "rank").select("key", "line", "rank"), "line_active")
-            if ranks.isEmpty():
-                break
-    if later is None:
-        return runs.select("key", "start", F.col("len").alias("end")).limit(0)
-    return later
+        if ranks.isEmpty():
+            break
+        levels.append(ranks.withColumn("size", F.lit(size)))
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+
+    # a run of size to 2 * size - 1 lines is named by the ranks at its first and its last ``size`` lines
+    runs = (active.where("ahead > 0").select("key", "doc_id", F.col("line").alias("start"), F.col("ahead").alias("len"))
+            .union(active.where("back > 0").select("key", "doc_id", F.col("line") - F.col("back") + 1, "back")).distinct())
+    runs = runs.withColumn("size", F.expr("shiftleft(1, length(bin(len)) - 1)"))
+    named = (runs.withColumn("tail", F.col("start") + F.col("len") - F.col("size"))
+             .join(every.select("key", "size", F.col("line").alias("start"), F.col("rank").alias("r1")), ["key", "size", "start"])
+             .join(every.select("key", "size", F.col("line").alias("tail"), F.col("rank").alias("r2")), ["key", "size", "tail"])
+             .select("key", "doc_id", "start", "len", _named("r1", "r2", F.col("len").cast("string").cast("binary")).alias("run")))
+    named = scratch_table(named, "line_runs")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "start")
+    firsts = (named.groupBy("run").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
+              .select("run", F.col("f.key").alias("fkey"), F.col("f.start").alias("fstart")))
+    same = F.col("key") == F.col("fkey")
+    return (named.join(scratch_table(firsts, "line_firsts"), "run").where(~(same & (F.col("start") == F.col("fstart"))))
+            .select("key", F.when(same, F.greatest("start", F.col("fstart") + F.col("len"))).otherwise(F.col("start")).alias("start"),
+                    (F.col("start") + F.col("len")).alias("end")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
