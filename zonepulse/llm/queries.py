@@ -24,7 +24,28 @@ def op1(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir), extra={"text_sha256": F.sha2(text_of(), 256)})
 
 
-@register("op3_near_dedup")
+@register("op3_near_dedup", r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    sized AS (SELECT * FROM shingles JOIN sizes USING (doc_id)),
+    links AS (
+      SELECT a.doc_id AS x, b.doc_id AS y FROM sized a JOIN sized b
+        ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach AS (
+      SELECT DISTINCT x, x AS y FROM both_ways
+      UNION
+      SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+    lows AS (SELECT x, min(y) AS low FROM reach GROUP BY x)
+    SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(low, d.doc_id) AS component_id,
+           coalesce(low, d.doc_id) = d.doc_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lows ON d.doc_id = lows.x""")
 def op3(spark, sf_dir):
     from .near_dedup import near_duplicates
     return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
@@ -101,7 +122,33 @@ def op6(spark, sf_dir):
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
 
 
-@register("op7_line_dedup")
+@register("op7_line_dedup", r"""
+    WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+    l AS (SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS i FROM d),
+    w AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+          FROM (SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n FROM l)),
+    runs AS (
+      SELECT a.doc_id, a.i AS s, min(b.i) + 1 AS e FROM w a JOIN w b
+        ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 50 GROUP BY a.doc_id, a.i
+      UNION
+      SELECT a.doc_id, max(b.i) AS s, a.i + 1 AS e FROM w a JOIN w b
+        ON a.doc_id = b.doc_id AND b.i <= a.i AND a.upto - b.upto + b.n >= 50 GROUP BY a.doc_id, a.i),
+    named AS (SELECT r.doc_id, s, e, string_agg(t, chr(10) ORDER BY i) AS run
+              FROM runs r JOIN l ON r.doc_id = l.doc_id AND i >= s AND i < e GROUP BY r.doc_id, s, e),
+    placed AS (SELECT *, first_value(doc_id) OVER g AS fd, first_value(s) OVER g AS fs
+               FROM named WINDOW g AS (PARTITION BY run ORDER BY doc_id, s)),
+    cuts AS (SELECT doc_id, CASE WHEN fd = doc_id THEN greatest(s, fs + e - s) ELSE s END AS s, e
+             FROM placed WHERE NOT (fd = doc_id AND fs = s)),
+    gone AS (SELECT DISTINCT l.doc_id, l.i FROM l JOIN cuts c ON l.doc_id = c.doc_id AND l.i >= c.s AND l.i < c.e),
+    islands AS (SELECT doc_id, min(i) AS a, max(i) + 1 AS b, count(*) AS n
+                FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM gone) GROUP BY doc_id, g),
+    marks AS (SELECT doc_id, string_agg(a || ':' || b, ',' ORDER BY a) AS runs, CAST(sum(n) AS BIGINT) AS n_deleted
+              FROM islands GROUP BY doc_id),
+    left_over AS (SELECT l.doc_id, string_agg(t, chr(10) ORDER BY i) AS kept
+                  FROM l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.i = l.i) GROUP BY l.doc_id)
+    SELECT d.doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+           coalesce(runs, '') AS runs, sha256(coalesce(kept, '')) AS text_sha256
+    FROM d LEFT JOIN marks USING (doc_id) LEFT JOIN left_over USING (doc_id)""")
 def op7(spark, sf_dir):
     from .line_dedup import dedup_lines
     return dedup_lines(documents(spark, sf_dir)).select(
