@@ -104,6 +104,17 @@ def test_pii_messy(messy):
     assert not set(found) & {1, 2, 9, 10, 11, 12}
 
 
+def test_pii_added_spans_in_running_text(spark):
+    from zonepulse.llm.pii import find_pii
+    rows = [(i, f"lorem ipsum ssn: {100 + i % 800}-45-{1000 + i} dolor sit amet") for i in range(40)]
+    rows += [(100 + i, f"lorem ipsum 235382095301{3700 + i} dolor {i % 30 + 1}.{i % 12 + 1}.2020 page 12-14 sit") for i in range(200)]
+    rows += [(400 + i, "Onou Onou Onou Apache License. At At At General Public License sit") for i in range(200)]
+    got = {r["doc_id"]: r for r in find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    text = dict(rows)
+    assert all([text[i][x["s"]:x["e"]] for x in got[i]["added"]] == [text[i][17:28]] for i in range(40))
+    assert not any(got[i]["added"] for i in got if i >= 100)
+
+
 @data
 def test_pii_docs(docs):
     from zonepulse.llm.pii import KINDS, find_pii

@@ -2,9 +2,9 @@
 
 Fixed patterns (email, ip, card, phone) always count.  Beyond them, wide
 candidate patterns propose names, numbers and written-out addresses.  Regex,
-gazetteer and context labelers vote +1 (private), -1 (harmless) or 0 (silent) on
+checksum, gazetteer and context labelers vote +1 (private), -1 (harmless) or 0 (silent) on
 each candidate.  Expectation-maximisation estimates the labelers' reliabilities
-from the counts of vote patterns: at most 3**7 rows, whatever the corpus.  The
+from the counts of vote patterns: at most 3**8 rows, whatever the corpus.  The
 posteriors then train the span classifier, a naive Bayes model over hashed
 features of the candidate's shape, size and context; its table has
 ``FEATURE_CELLS`` rows at most and is broadcast.  Candidates that score above
@@ -37,7 +37,7 @@ IP_VALID = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
 #: What may be personal beyond the fixed patterns.
 CANDIDATES = (
-    ("number", r"(?<![0-9A-Za-z.,+])[0-9(](?:[0-9\x20().-]){5,30}+(?<=[0-9])(?![0-9A-Za-z])"),
+    ("number", r"(?<![0-9A-Za-z.,+])[0-9(][0-9\x20().-]{4,30}[0-9](?![0-9A-Za-z])"),
     ("account", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){3,7}+(?:\x20?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("address", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,40}+\x20?(?:"
                 r"(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{2,40}+(?:\x20?(?:\.|\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,10})+|"
@@ -81,11 +81,15 @@ def votes(kind: Column, m: Column, before: Column) -> list[Column]:
     digits = F.regexp_replace(m, "[^0-9]", "")
     words = F.split(m, r"\x20")
     one, no = F.lit(1), F.lit(-1)
+    # numbers as long as a card's must pass its checksum
+    long_number = F.length(digits).between(13, 19)
+    sound = ~long_number | F.call_function("luhn_check", digits)
     known = lambda names: F.exists(words, lambda w: w.isin(names))
     return [
-        F.when(F.rlike(m, F.lit(PRIVATE_SHAPES)) | kind.isin("account", "address"), one).otherwise(0),       # regex
+        F.when(F.rlike(m, F.lit(PRIVATE_SHAPES)) & sound | kind.isin("account", "address"), one).otherwise(0),  # regex
         F.when(F.rlike(m, F.lit(HARMLESS_SHAPES)), no).otherwise(0),                                         # regex
-        F.when(kind == "number", F.when(F.length(digits).between(9, 19), one).otherwise(no)).otherwise(0),   # regex: digits
+        F.when(kind == "number", F.when(F.length(digits).between(9, 19) & sound, one).otherwise(no)).otherwise(0),  # regex: digits
+        F.when((kind == "number") & ~sound, no).otherwise(0),                                                # checksum
         F.when(kind == "name", F.when(known(GIVEN), one).otherwise(0)).otherwise(0),                         # gazetteer
         F.when(kind == "name", F.when(known(PLACES), no).otherwise(0)).otherwise(0),                         # gazetteer
         F.when(F.rlike(before, F.lit(BEFORE_PRIVATE)), one).otherwise(0),                                    # context
@@ -147,7 +151,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     v[0] = F.when(F.col("known"), 1).otherwise(v[0])
     spans = scratch_table(spans.select("key", "kind", "s", "e", "known", F.array(*v).alias("votes"),
                                        _features(F.col("kind"), F.col("m"), F.col("before")).alias("cells")), "pii_spans")
-    counted = spans.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()     # 3**7 patterns at most
+    counted = spans.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()     # 3**8 patterns at most
     patterns = sorted((tuple(r["votes"]), r["n"]) for r in counted)
     prior, right = reliabilities(patterns)
     odds = reduce(lambda a, b: a + b, [F.get("votes", F.lit(j)) * math.log(r / (1 - r)) for j, r in enumerate(right)],
