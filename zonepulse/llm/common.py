@@ -71,6 +71,22 @@ def text_of(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+BATCH_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, sent to Python workers in batches of at most ``BATCH_ROWS`` rows from now on.
+
+    Spark's default of 10,000 rows a batch holds each batch of texts several times over in
+    the executor and its workers; the session keeps a smaller setting if it has one.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

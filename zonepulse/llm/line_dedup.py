@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, row_key, scratch_table
+from .common import packed, row_key, scratch_table, text_batches
 
 MIN_WORDS = 50
 CELL_BITS = 20
@@ -68,7 +68,7 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
                     [batch.column("key").take(at), batch.column("doc_id").take(at), pa.array(np.concatenate(line)), pa.array(h, pa.binary()),
                      pa.array(np.concatenate(ahead).astype(np.int32)), pa.array(np.concatenate(back).astype(np.int32))],
                     ["key", "doc_id", "line", "h", "ahead", "back"])
-    return docs.select("key", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, LINES)
+    return text_batches(docs).select("key", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, LINES)
 
 
 def _named(*parts):
