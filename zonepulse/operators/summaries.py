@@ -167,8 +167,10 @@ def in_time_order(df: DataFrame, order_col: str = "record_id", time_col: str = "
     """
     t, o = F.col(time_col), F.col(order_col).cast("bigint")
     led = df.select(o.alias("_o"), t.alias("_first"), t.alias("_last"), t.isNull().alias("_bad"))
-    for _ in range(-(-64 // bits)):
-        led = led.withColumn("_b", F.shiftright("_o", bits))
+    steps = -(-64 // bits)
+    for step in range(steps + 1):
+        # the last step compares the negative ids with the others: two rows
+        led = led.withColumn("_b", F.shiftright("_o", bits) if step < steps else F.lit(0))
         w = Window.partitionBy("_b").orderBy("_o")
         led = led.withColumn("_bad", F.col("_bad") | F.coalesce(F.col("_first") < F.lag("_last").over(w), F.lit(False)))
         led = led.groupBy("_b").agg(F.max("_bad").alias("_bad"), F.min_by("_first", "_o").alias("_first"),
