@@ -469,3 +469,24 @@ def test_pipeline_stages_against_plain_versions(spark, tmp_dir):
                 want[(d, len(ids), B.sha(" ".join(map(str, ids))), B.sha(sp.decode(ids)))] += 1
             assert collections.Counter(map(tuple, got)) == want
         docs = after
+
+
+def test_components_of_paths_stars_and_cycles(spark):
+    from zonepulse.llm.components import components
+    path = [(i, i + 1) for i in range(40)] + [(100 - i, 99 - i) for i in range(30)]
+    star = [(500, 501 + i) for i in range(30)] + [(599, 541 + i) for i in range(20)]
+    rng = random.Random(4)
+    loose = [(1000 + rng.randrange(60), 1000 + rng.randrange(60)) for _ in range(45)]
+    rows = path + star + loose + [(7, 7)]
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+    for a, b in rows:
+        if a != b:
+            a, b = top(a), top(b)
+            up[max(a, b)] = min(a, b)
+    got = components(spark.createDataFrame(rows, "a long, b long"))
+    assert {r["node"]: r["label"] for r in got.collect()} == {x: top(x) for a, b in rows if a != b for x in (a, b)}

@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by hooking to the smallest neighbour and jumping."""
+"""Connected components of an edge table, by hooking to the smallest neighbour and contracting."""
 
 from __future__ import annotations
 
@@ -8,24 +8,36 @@ from pyspark.sql import functions as F
 from .common import scratch_table
 
 
+def _roots(hooks: DataFrame) -> DataFrame:
+    """node, label with each label replaced by the end of its chain of labels, by pointer jumping."""
+    while True:
+        up = hooks.select(F.col("node").alias("label"), F.col("label").alias("above"))
+        after = scratch_table(hooks.join(up, "label").select("node", F.col("label").alias("old"), F.col("above").alias("label")), "cc_roots")
+        hooks = after.select("node", "label")
+        if after.where("old <> label").isEmpty():
+            return hooks
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label for every node of ``edges`` (a, b); the label is the component's smallest node.
 
-    Each round sends every node's label along its edges, keeps the smallest
-    (pre-aggregated, so a hub costs no single task), and then replaces labels by
-    their labels' labels.  Rounds end when nothing changes.
+    A round hooks every node to its smallest neighbour if that is smaller (pre-aggregated, so
+    a hub costs no single task), follows the chains to their roots, and contracts the edges
+    to edges between roots, which are few after the first round.  Rounds end when no edge is left.
     """
-    both = scratch_table(edges.where("a <> b").select("a", "b")
-                         .union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc_edges")
-    labels = scratch_table(both.groupBy("a").agg(F.min("b").alias("low"))
-                           .select(F.col("a").alias("node"), F.least("a", "low").alias("label")), "cc_labels")
+    ends = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    e = scratch_table(edges.where("a <> b").select(*ends("a", "b")).distinct(), "cc_edges")
+    result = None
     while True:
-        told = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("low")))
-        hooked = (labels.join(told.withColumnRenamed("a", "node"), "node")
-                  .select("node", F.col("label").alias("old"), F.least("label", "low").alias("label")))
-        hooked = scratch_table(hooked, "cc_hooked")
-        up = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        after = scratch_table(hooked.join(up, "label").select("node", "old", F.col("above").alias("label")), "cc_labels")
-        labels = after.select("node", "label")
-        if after.where("old <> label").isEmpty():
-            return labels
+        both = e.union(e.select("b", "a"))
+        hooks = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label"))
+        roots = _roots(scratch_table(hooks, "cc_hooks"))
+        if result is None:
+            result = roots
+        else:
+            top = roots.select(F.col("node").alias("label"), F.col("label").alias("top"))
+            result = scratch_table(result.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "cc_labels")
+        at = lambda c: roots.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+        e = scratch_table(e.join(at("a"), "a").join(at("b"), "b").where("la <> lb").select(*ends("la", "lb")).distinct(), "cc_edges")
+        if e.isEmpty():
+            return result

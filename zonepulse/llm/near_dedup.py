@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pick, row_key, scratch_table, unpacked, without_keys
+from .common import packed, pick, row_key, scratch_table, text_batches, unpacked, without_keys
 from .components import components
 
 SHINGLE = 5
@@ -50,7 +50,7 @@ ROUGH = 0.55
 CHUNK = 256
 PIVOTS = 8
 CELL_BITS = 20
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 16
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
 
@@ -255,7 +255,7 @@ def _confirm_rest(blocks: DataFrame, width: int, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF,
                     chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``; with ``keyed`` also its ``row_key``."""
-    texts = pick(docs, "doc_id", "text")
+    texts = text_batches(pick(docs, "doc_id", "text"))
     rows = scratch_table(_signed(texts, width), "near_rows")
     classes = (rows.where("cls IS NOT NULL").groupBy("cls")
                .agg(F.min("doc_id").alias("low_id"), F.min("key").alias("key"), F.first("sig").alias("sig"), F.max("n").alias("n")))
