@@ -202,6 +202,22 @@ def test_near_dense_group_in_many_chunks(spark):
     check_near(rows, near_duplicates(df, 2, leaf=4, chunk=32).collect(), 2)
 
 
+def test_forest_finds_pairs_in_dense_families(spark):
+    """Signatures that agree in a third of the values at random; planted pairs of 0.8 must be candidates or tied."""
+    import numpy as np
+    from zonepulse.llm.near_dedup import SIG, forest_pairs
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 3, (20000, SIG)).astype(np.uint16)
+    for i in range(0, 1000, 2):
+        at = rng.permutation(SIG)[:32]
+        sig[i + 1] = sig[i]
+        sig[i + 1, at] = (sig[i, at] + 1) % 3
+    rows = [(i.to_bytes(16, "big"), s.tobytes()) for i, s in enumerate(sig)]
+    got = forest_pairs(spark.createDataFrame(rows, "cls binary, sig binary"), leaf=2).where("hex(a) < hex(b)").collect()
+    got = {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in got}
+    assert all((i, i + 1) in got for i in range(0, 1000, 2))
+
+
 def test_one_of_each(messy):
     from zonepulse.llm.near_dedup import near_duplicates, one_of_each
     kept = sorted(map(str, (r["doc_id"] for r in near_duplicates(messy[1]).where("kept").collect())))

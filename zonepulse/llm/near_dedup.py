@@ -5,10 +5,13 @@
 2. Forest: ``TREES`` orders of the signature's values.  In an order, classes that
    share their first values stand side by side when sorted; the length of the
    shared prefix is their depth.  A region (one prefix) of at most ``LEAF`` classes
-   is a leaf and its neighbours are candidates; a larger region is cut at the next
-   depth of ``DEPTHS``, so the depth adapts to each region's density.  Dense
-   regions that are deep (``STAR`` and beyond) tie all their members to one, and
-   leaves inside them only add neighbours to that.
+   is a leaf and all its pairs are candidates; a larger region is cut at the next
+   depth of ``DEPTHS``, down to the whole signature, so the depth adapts to each
+   region's density.  From ``STAR`` on, the members of a dense region are held
+   against its smallest one at once.  Those near it are tied to it; pairs of
+   members with the same tie are in one cluster already and are not listed again.
+   Classes of dense regions that ties leave in parts go through ``MORE`` further
+   orders, which start at ``STAR`` values.
 3. Candidates whose signatures agree in at least ``ROUGH`` of the values are
    edges; their components are clusters.  Clusters only gather what must be
    compared, and decide nothing.
@@ -20,7 +23,8 @@
 
 Two texts above the threshold are missed only if no chain of candidates puts
 them into one cluster.  At similarity 0.8 a pair shares a prefix of 5 values in
-one of 32 orders but for 3 in 10**6 cases, of 7 values but for 6 in 10**4.
+one of 32 orders but for 3 in 10**6 cases, of 7 values but for 6 in 10**4; the
+further orders of dense regions are for the longer prefixes.
 
 Edge cases: null and blank texts have an empty set and are linked with nothing;
 shorter texts than a shingle are one shingle; rows with null ids take part, and a
@@ -42,8 +46,9 @@ PERCENT = 80
 TREES = 32
 FIRST = 5               # values of its own that each tree starts with
 SIG = TREES * FIRST
-DEPTHS = (5, 7, 9, 12, 16, 20)
-STAR = 9
+DEPTHS = (5, 7, 9, 12, 16, 20, 28, 40, 64, 100, SIG)
+STAR = 7
+MORE = 96               # further orders for what is dense at ``STAR`` values
 LEAF = 16
 SHORT = 64              # signature bytes that estimate a candidate's similarity
 ROUGH = 0.55
@@ -96,10 +101,15 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(48)).astype(np.uint16)
 
 
-def _order(tree: int) -> np.ndarray:
-    """The signature places of a tree, 20 deep: its own five values, then those of other trees."""
-    groups = [(tree + shift) % TREES for shift in (0, 7, 13, 22)]
-    return np.concatenate([np.arange(FIRST * g, FIRST * g + FIRST) for g in groups])
+def _orders(more: bool = False) -> np.ndarray:
+    """The signature places in each tree's order: its own five values, then those of the others; or further orders."""
+    if more:
+        rng = np.random.default_rng(20240612)
+        return np.array([rng.permutation(SIG) for _ in range(MORE)])
+    first = [0, 7, 13, 22]
+    shifts = first + [x for x in range(TREES) if x not in first]
+    places = np.arange(SIG).reshape(TREES, FIRST)
+    return np.array([np.concatenate([places[(t + x) % TREES] for x in shifts]) for t in range(TREES)])
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -122,68 +132,112 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "key binary, doc_id bigint, n bigint, cls binary, sig binary")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
+def _entries(classes: DataFrame, first: int, more: bool) -> DataFrame:
     """One row a class and tree: cls, tree, k (hash of the tree and its first values)."""
     def run(batches):
         import pyarrow as pa
-        orders = np.array([_order(t)[:FIRST] for t in range(TREES)])
-        trees = np.arange(TREES, dtype=np.uint64) * np.uint64(MIX[2])
+        orders = _orders(more)[:, :first]
+        n = len(orders)
+        trees = np.arange(n, dtype=np.uint64) * np.uint64(MIX[2]) + np.uint64(more)
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)
             own = sig[:, orders].astype(np.uint64)
             k = np.broadcast_to(trees, own.shape[:2])
-            for i in range(FIRST):
+            for i in range(first):
                 k = (k ^ own[:, :, i]) * np.uint64(MIX[0])
                 k = k ^ (k >> np.uint64(32))
-            at = np.repeat(np.arange(batch.num_rows), TREES)
+            at = np.repeat(np.arange(batch.num_rows), n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls").take(pa.array(at)), pa.array(np.tile(np.arange(TREES, dtype=np.int32), batch.num_rows)),
+                [batch.column("cls").take(pa.array(at)), pa.array(np.tile(np.arange(n, dtype=np.int32), batch.num_rows)),
                  pa.array(k.ravel().view(np.int64))], ["cls", "tree", "k"])
     return classes.select("cls", "sig").mapInArrow(run, "cls binary, tree int, k bigint")
 
 
-def _deeper(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries with ``rest``: the values of their tree's order behind the first ones."""
+def _deeper(entries: DataFrame, classes: DataFrame, first: int, more: bool) -> DataFrame:
+    """Entries (cls, tree, k, tie) with ``rest``: the values of their tree's order behind the first ones."""
     def run(batches):
         import pyarrow as pa
-        orders = np.array([_order(t)[FIRST:] for t in range(TREES)])
+        orders = _orders(more)[:, first:]
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)
             rest = np.take_along_axis(sig, orders[batch.column("tree").to_numpy()], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), batch.column("k"), pa.array([r.tobytes() for r in rest], pa.binary())], ["cls", "k", "rest"])
-    return (entries.join(classes.select("cls", "sig"), "cls").select("cls", "tree", "k", "sig")
-            .mapInArrow(run, "cls binary, k bigint, rest binary"))
-
-
-def forest_pairs(classes: DataFrame, leaf: int = LEAF) -> DataFrame:
-    """Candidate pairs (a < b) of ``classes`` (cls, sig)."""
-    pairs = []
-    at, rest = _entries(classes), None
-    for level, depth in enumerate(DEPTHS):
+                [batch.column("cls"), batch.column("k"), batch.column("tie"), pa.array([r.tobytes() for r in rest], pa.binary())],
+                ["cls", "k", "tie", "rest"])
+    return (entries.join(classes.select("cls", "sig"), "cls").select("cls", "tree", "k", "tie", "sig")
+            .mapInArrow(run, "cls binary, k bigint, tie binary, rest binary"))
+
+
+def _tied(dense: DataFrame, short: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges from dense regions' smallest members, and the regions' entries with their ties, if more than one is left."""
+    stars = dense.where("cls > low").select(F.col("low").alias("a"), F.col("cls").alias("b")).distinct()
+    stars = scratch_table(rough_edges(stars, short), "forest_stars")
+    near = stars.select(F.col("a").alias("low"), F.col("b").alias("cls"), F.lit(True).alias("near"))
+    tied = dense.join(near, ["low", "cls"], "left").withColumn("tie", F.when(F.col("near"), F.col("low_tie")).otherwise(F.col("tie")))
+    tied = scratch_table(tied.drop("near", "low", "low_tie"), "forest_tied")
+    tie = F.coalesce("tie", "cls")
+    parts = tied.groupBy("k").agg(F.min(tie).alias("x"), F.max(tie).alias("y")).where("x <> y").select("k")
+    return stars, tied.join(scratch_table(parts, "forest_parts"), "k", "left_semi")
+
+
+def _forest(classes: DataFrame, short: DataFrame, leaf: int, more: bool) -> tuple[list[DataFrame], DataFrame | None]:
+    """Tables of candidate pairs from one family of orders, and the classes that ties leave in dense regions at ``STAR``."""
+    depths = [d for d in DEPTHS if not more or d >= STAR]
+    first, pairs, untied = depths[0], [], None
+    at, rest = _entries(classes, first, more).withColumn("tie", F.lit(None).cast("binary")), None
+    for level, depth in enumerate(depths):
         if level:
-            start = 2 * (depth - FIRST)     # bytes of ``rest`` that this depth has used up
-            before = 2 * (DEPTHS[level - 1] - FIRST)
+            start = 2 * (depth - first)     # bytes of ``rest`` that this depth has used up
+            before = 2 * (depths[level - 1] - first)
             at = at.withColumn("k", F.xxhash64("k", F.substring("rest", before + 1, start - before)))
-        regions = at.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("low")).where("c > 1")
+        regions = (at.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("cls", "tie")).alias("x"))
+                   .where("c > 1").select("k", "c", F.col("x.cls").alias("low"), F.coalesce("x.tie", "x.cls").alias("low_tie")))
         kept = at.join(scratch_table(regions, "forest_regions"), "k")
         kept = scratch_table(kept, "forest_entries")
-        small = (kept.where(F.col("c") <= leaf).groupBy("k").agg(F.sort_array(F.collect_list("cls")).alias("all"))
+        small = (kept.where(F.col("c") <= leaf).groupBy("k").agg(F.sort_array(F.collect_list(F.struct("cls", "tie"))).alias("all"))
                  .select("all", F.posexplode("all").alias("i", "a")))
-        # inside a region that is tied together already, the next one is neighbour enough
-        width = leaf if depth <= STAR else 1
-        pairs.append(small.select("a", F.explode(F.slice("all", F.col("i") + 2, F.lit(width))).alias("b")))
-        if depth >= STAR:
-            pairs.append(kept.where((F.col("c") > leaf) & (F.col("cls") > F.col("low"))).select(F.col("low").alias("a"), F.col("cls").alias("b")))
-        dense = kept.where(F.col("c") > leaf).drop("c", "low")
+        # what has the same tie is in one cluster already
+        others = small.select("a", F.explode(F.slice("all", F.col("i") + 2, F.lit(leaf))).alias("b")).where("coalesce(a.tie, a.cls) <> coalesce(b.tie, b.cls)")
+        pairs.append(others.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")))
+        dense = kept.where(F.col("c") > leaf).drop("c")
         if dense.isEmpty():
             break
-        at = scratch_table(_deeper(dense, classes), "forest_dense") if rest is None else dense
+        if depth >= STAR:
+            stars, dense = _tied(dense, short)
+            pairs.append(stars)
+            if untied is None:
+                untied = dense.select("cls").distinct()
+            if dense.isEmpty():
+                break
+        else:
+            dense = dense.drop("low", "low_tie")
+        at = scratch_table(_deeper(dense, classes, first, more), "forest_dense") if rest is None else dense
         rest = True
+    return pairs, untied
+
+
+def shortened(classes: DataFrame) -> DataFrame:
+    """cls, short: the signature bytes that ``rough_edges`` compares."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            if b.num_rows:
+                sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)[:, :SHORT].astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array([s.tobytes() for s in sig], pa.binary())], ["cls", "short"])
+    return scratch_table(classes.select("cls", "sig").mapInArrow(run, "cls binary, short binary"), "near_short")
+
+
+def forest_pairs(classes: DataFrame, leaf: int = LEAF, short: DataFrame | None = None) -> DataFrame:
+    """Candidate pairs (a < b) of ``classes`` (cls, sig)."""
+    short = shortened(classes) if short is None else short
+    pairs, untied = _forest(classes, short, leaf, False)
+    if untied is not None and not untied.isEmpty():
+        again = scratch_table(classes.select("cls", "sig").join(untied, "cls", "left_semi"), "forest_again")
+        pairs += _forest(again, short, leaf, True)[0]
     out = pairs[0]
     for p in pairs[1:]:
         out = out.union(p)
@@ -260,15 +314,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     classes = (rows.where("cls IS NOT NULL").groupBy("cls")
                .agg(F.min("doc_id").alias("low_id"), F.min("key").alias("key"), F.first("sig").alias("sig"), F.max("n").alias("n")))
     classes = scratch_table(classes, "near_classes")
-
-    def shorten(batches):
-        import pyarrow as pa
-        for b in batches:
-            if b.num_rows:
-                sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)[:, :SHORT].astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array([s.tobytes() for s in sig], pa.binary())], ["cls", "short"])
-    short = scratch_table(classes.select("cls", "sig").mapInArrow(shorten, "cls binary, short binary"), "near_short")
-    edges = rough_edges(scratch_table(forest_pairs(classes, leaf), "near_pairs"), short)
+    short = shortened(classes)
+    edges = rough_edges(scratch_table(forest_pairs(classes, leaf, short), "near_pairs"), short)
     clusters = components(scratch_table(edges, "near_edges")).select(F.col("node").alias("cls"), F.col("label").alias("cluster"))
 
     sizes = scratch_table(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")), "near_sizes")
