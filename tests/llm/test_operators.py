@@ -218,6 +218,24 @@ def test_forest_finds_pairs_in_dense_families(spark):
     assert all((i, i + 1) in got for i in range(0, 1000, 2))
 
 
+def test_asking_texts_come_in_blocks_of_fixed_size(spark):
+    """A cluster of distinct texts at 0.6 with a few near pairs across chunks: all pairs found, and only those are compared."""
+    from zonepulse.llm import near_dedup as N
+    base, texts = [f"t{i}" for i in range(60)], []
+    for i in range(600):
+        texts.append(base + [f"u{i}.{j}" for j in range(20)])
+        if i % 20 == 0:
+            texts.append(texts[-1][:-2] + [f"v{i}.{j}" for j in range(2)])
+    ids = [i.to_bytes(16, "big") for i in range(len(texts))]
+    rows = [(c, b"c", c, i % 8, True, " ".join(t)) for i, (c, t) in enumerate(zip(ids, texts))]
+    named = spark.createDataFrame(rows, "cls binary, cluster binary, label binary, chunk int, asks boolean, text string")
+    got = N._confirm_rest(N._sets(named, 1), 80).collect()
+    sets = [set(t) for t in texts]
+    want = {tuple(sorted((ids[i], ids[j]))) for i in range(len(ids)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert len(want) == 30 and {tuple(sorted((bytes(r["a"]), bytes(r["b"])))) for r in got} == want
+    assert N._candidates(N._sets(named, 1), 80).count() == 30
+
+
 def test_one_of_each(messy):
     from zonepulse.llm.near_dedup import near_duplicates, one_of_each
     kept = sorted(map(str, (r["doc_id"] for r in near_duplicates(messy[1]).where("kept").collect())))

@@ -17,9 +17,11 @@
    compared, and decide nothing.
 4. Exact step: each cluster's texts are compared on their full sets in chunks of
    about ``CHUNK`` classes with a few pivots of the cluster in every chunk.
-   Components that a chunk could not join are then compared, as a stated query
-   set, with all other chunks of their cluster, in blocks.  Only joining links
-   leave a task, never all pairs of a group.
+   Texts that a chunk did not join to the cluster's largest component ask on: an
+   equi-join on rare shingles (prefix filter with sizes and places, exact) finds
+   whom they can be near to, and blocks of at most about ``ASKS`` asking texts and
+   one chunk are compared on their shingle hashes.  Only joining links leave a
+   task, never all pairs of a group.
 
 Two texts above the threshold are missed only if no chain of candidates puts
 them into one cluster.  At similarity 0.8 a pair shares a prefix of 5 values in
@@ -54,6 +56,7 @@ SHORT = 64              # signature bytes that estimate a candidate's similarity
 ROUGH = 0.55
 CHUNK = 256
 PIVOTS = 8
+ASKS = 128              # asking texts in a block
 CELL_BITS = 20
 KNOWN_WORDS = 1 << 16
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
@@ -291,19 +294,70 @@ def _confirm(members: DataFrame, width: int, percent: int) -> DataFrame:
     return members.groupBy("cluster", "chunk").applyInPandas(run, "a binary, b binary")
 
 
-def _confirm_rest(blocks: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: links between the queries of a block and the block's other texts of other components."""
+def _sets(named: DataFrame, width: int) -> DataFrame:
+    """cls, cluster, label, chunk, asks, n and h (shingle hashes) of ``named`` (.., text)."""
+    def run(batches):
+        import pyarrow as pa
+        make = Shingler(width)
+        for b in batches:
+            sets = [make(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c) for c in ("cls", "cluster", "label", "chunk", "asks")]
+                + [pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                ["cls", "cluster", "label", "chunk", "asks", "n", "h"])
+    return (named.select("cls", "cluster", "label", "chunk", "asks", "text")
+            .mapInArrow(run, "cls binary, cluster binary, label binary, chunk int, asks boolean, n bigint, h array<bigint>"))
+
+
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """cluster, q, o: asking classes and classes of other components that may be near them; no near pair is left out.
+
+    Shingles stand in order of their frequency in the cluster.  Of two sets that are near enough, the smaller
+    has one of its first n - 2tn/(1+t) + 1 shingles among the larger one's first n - tn + 1, and the
+    places of the first one they share leave room for the overlap needed.
+    """
+    words = sets.select("cls", "cluster", "n", F.explode("h").alias("h"))
+    common = scratch_table(words.groupBy("cluster", "h").agg(F.count(F.lit(1)).alias("f")), "near_common")
+    p = F.lit(percent)
+    long_prefix = F.col("n") - F.floor((p * F.col("n") + 99) / 100) + 1
+    short_prefix = F.col("n") - F.floor((2 * p * F.col("n") + 99 + p) / (100 + p)) + 1
+    ranked = (words.join(common, ["cluster", "h"]).groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("all")))
+    heads = (sets.drop("h").join(ranked, "cls")
+             .select("cls", "cluster", "label", "asks", "n", short_prefix.alias("least"),
+                     F.posexplode(F.slice("all", F.lit(1), long_prefix.cast("int"))).alias("i", "x")))
+    heads = scratch_table(heads.select("cls", "cluster", "label", "asks", "n", "least", "i", F.col("x.h").alias("h")), "near_heads")
+    side = lambda t: heads.select("cluster", "h", *[F.col(c).alias(f"{t}_{c}") for c in ("cls", "label", "asks", "n", "least", "i")])
+    room = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
+    pairs = (side("x").where("x_i < x_least").join(side("y"), ["cluster", "h"])
+             .where("(x_asks OR y_asks) AND x_label <> y_label")
+             .where((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_cls") < F.col("y_cls"))))
+             .where((100 * F.col("x_n") >= p * F.col("y_n")) & ((100 + p) * room >= p * (F.col("x_n") + F.col("y_n")))))
+    asking = lambda a, b: F.when(F.col("x_asks"), F.col(a)).otherwise(F.col(b))
+    return pairs.select("cluster", asking("x_cls", "y_cls").alias("q"), asking("y_cls", "x_cls").alias("o")).distinct()
+
+
+def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between asking classes and classes of other components of their cluster."""
     def run(pdf):
         import pandas as pd
-        make = Shingler(width)
         ids, labels = list(pdf["cls"]), list(pdf["label"])
-        sets = [make(t) for t in pdf["text"]]
-        asked = np.flatnonzero(pdf["asks"].to_numpy())
+        own = [np.asarray(h, np.int64).view(np.uint64) for h in pdf["h"]]
+        asked = np.flatnonzero(pdf["asked"].to_numpy())
         out = set()
-        for q, near in _similar(sets, asked, percent):
+        for q, near in _similar(own, asked, percent):
             out |= {(labels[q], labels[x]) for x in near if labels[x] != labels[q]}
         return pd.DataFrame(sorted(out), columns=["a", "b"])
-    return blocks.groupBy("cluster", "chunk").applyInPandas(run, "a binary, b binary")
+
+    found = scratch_table(_candidates(sets, percent), "near_candidates")
+    counts = sets.where("asks").groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / ASKS).alias("blocks"))
+    at = sets.select(F.col("cls").alias("o"), "chunk")
+    dealt = (found.join(scratch_table(counts, "near_asking"), "cluster").join(at, "o")
+             .select("cluster", "q", "o", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int").alias("block"), "chunk"))
+    dealt = scratch_table(dealt, "near_dealt")
+    members = [dealt.select("cluster", "block", "chunk", F.col(c).alias("cls"), F.lit(c == "q").alias("asked")) for c in "qo"]
+    members = (members[0].union(members[1]).groupBy("cluster", "block", "chunk", "cls").agg(F.max("asked").alias("asked"))
+               .join(sets.select("cls", "label", "h"), "cls"))
+    return members.groupBy("cluster", "block", "chunk").applyInPandas(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF,
@@ -344,11 +398,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         parts = named.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
         main = parts.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("x")).select("cluster", F.col("x.label").alias("main"))
         named = named.join(scratch_table(main, "near_main"), "cluster")
-        asks = (named.where("label <> main")
-                .select("cluster", "cls", "label", "text", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-                        F.lit(True).alias("asks")))
-        blocks = asks.unionByName(named.select("cluster", "cls", "label", "text", "chunk", F.lit(False).alias("asks")))
-        more = scratch_table(_confirm_rest(blocks, width, percent), "near_more")
+        asking = named.where("label <> main").select("cluster").distinct()
+        named = named.withColumn("asks", F.col("label") != F.col("main")).join(scratch_table(asking, "near_asking"), "cluster", "left_semi")
+        more = scratch_table(_confirm_rest(scratch_table(_sets(named, width), "near_sets"), percent), "near_more")
         joined = components(links.union(more)).select(F.col("node").alias("cls"), "label")
     named = (classes.select("cls", "low_id").join(scratch_table(joined.distinct(), "near_joined"), "cls", "left")
              .select("cls", "low_id", F.coalesce("label", "cls").alias("label")))
