@@ -154,6 +154,15 @@ def test_secrets_docs(docs):
     check_spans(pairs(docs), scan_secrets(docs).collect(), KINDS, B.secret_base)
 
 
+def test_secrets_beside_harmless_stretches(spark):
+    from zonepulse.llm.secrets import scan_secrets
+    key, token = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gt", "aB3dE5fG7hJ9kL1mN3pQ5rS7tU9vW1xY"
+    texts = [key, "data/sample/" + token, token + "=" * 9, "x" * 40 + "/example/dummy", "example" + token[:12] + "0" * 8 + token[12:24]]
+    got = scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    found = {r["doc_id"]: [(x["kind"], x["s"], x["e"]) for x in r["entropy"]] for r in got}
+    assert found == {i: [("entropy_base64", 0, len(texts[i]))] if i < 3 else [] for i in range(5)}
+
+
 def test_sliding_entropy(spark):
     from pyspark.sql import functions as F
     from zonepulse.llm.secrets import ALPHABET, max_entropy

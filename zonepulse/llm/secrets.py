@@ -4,9 +4,9 @@ Candidates are maximal runs of a character class (hexadecimal, lower-case
 alphanumeric, base64) of at least one window.  A window of ``WINDOW`` characters
 slides along a candidate with a count per symbol; entering and leaving
 characters change the counts and the sum of c * log2(c), so no window is counted
-anew.  A candidate is a secret if one of its windows has at least its class's
-entropy and no allow-list rule speaks for it.  Found spans that overlap a
-pattern's span are not repeated.
+anew.  A candidate is a secret if no allow-list rule fits it whole and a window
+outside its harmless stretches has at least its class's entropy.  Found spans
+that overlap a pattern's span are not repeated.
 
 Everything is a column expression; no row is moved.
 
@@ -40,15 +40,15 @@ CLASSES = (
     ("entropy_lower", "0-9a-z", 3.6),
     ("entropy_base64", r"A-Za-z0-9+/_=-", 3.9),
 )
-#: What the allow list lets pass.
+#: Candidates that the allow list lets pass whole.
 ALLOWED = (
     r"^[A-Za-z_-]+$",                                     # words and identifiers
     r"^[A-Za-z]+[0-9]{0,4}$",                             # a word with a short number
     r"^[0-9+_=-]+$",                                      # digits and rules
-    r"(?i)example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|1234567890|abcdefgh",
     r"^(?:[A-Za-z]+[0-9]{0,4}[/_-])+[A-Za-z]+[0-9]{0,4}$",  # paths and slugs
-    r"(.)\1{7,}",                                         # long runs of one character
 )
+#: Stretches that no window may touch; what is left of a candidate is measured.
+HARMLESS = r"(?i:example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|1234567890|abcdefgh)|(.)\1{7,}"
 
 
 def max_entropy(s: Column, window: int = WINDOW) -> Column:
@@ -89,9 +89,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         runs = match_spans(F.col("t"), f"(?<![{chars}])[{chars}]{{{WINDOW},}}+")
         t = t.withColumn(kind, F.filter(runs, lambda x: ~reduce(or_, [F.rlike(x["m"], F.lit(p)) for p in ALLOWED])))
     t = t.withColumn("base", base)
+    def measured(x: Column) -> Column:
+        return F.filter(F.split(x["m"], HARMLESS), lambda p: F.length(p) >= WINDOW)
     def dense(kind: str, bits: float) -> Column:
         own = F.filter(F.col(kind), lambda x: ~overlaps(x, F.col("base")))
-        return F.transform(F.filter(own, lambda x: max_entropy(x["m"]) >= bits),
+        return F.transform(F.filter(own, lambda x: F.exists(measured(x), lambda p: max_entropy(p) >= bits)),
                            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
     found = [dense(kind, bits) for kind, _, bits in CLASSES]
     return t.select("doc_id", *KINDS, F.array_sort(F.concat(*found)).alias("entropy"))
