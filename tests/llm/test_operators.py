@@ -447,6 +447,18 @@ def test_shards_of_equal_metadata(spark):
     assert max(weight.values()) - min(weight.values()) <= 0.02 * sum(weight.values()) / 8
 
 
+def test_shards_beside_a_heavy_group(spark):
+    """One text with a third of all bytes takes one shard; the other seven share the rest evenly."""
+    rows = [(i, f"{i:08d} " + "x" * (i % 90)) for i in range(4000)]
+    total = sum(len(t) + 1 for _, t in rows)
+    rows += [(5000 + i, "hot " * 200) for i in range(total // 2 // 801)]
+    df = spark.createDataFrame([(d, t, "s", "en") for d, t in rows], "doc_id bigint, text string, source string, lang string")
+    weight, hot = check_shards(rows, df)
+    rest = sorted(weight.values())[:-1]
+    assert max(weight.values()) == hot and len(rest) == 7
+    assert all(abs(w - sum(rest) / 7) <= 0.02 * sum(rest) / 7 for w in rest)
+
+
 # ---- empty tables, the pipeline
 
 def test_empty_tables(empty, spark):

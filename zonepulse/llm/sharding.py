@@ -2,9 +2,12 @@
 
 Equal texts form one group and stay together; a group weighs the bytes of all
 its rows.  Groups are points with four coordinates (smallest id, bytes of one
-text, hashes of source and language).  Every node is split at the weighted
-median of the coordinate that is widest there against the whole table, level by
-level for all nodes together, until 8 leaves of the target bytes are left.
+text, hashes of source and language).  A node stands for a number of leaves, 8 at
+the root.  A group as heavy as a leaf's share of its node takes one leaf alone;
+the rest shares the other leaves.  Every node is split, by the leaves of its
+halves, at the weighted quantile (the median where the leaves are even) of the
+coordinate that is widest there against the whole table, level by level for all
+nodes together, until each has one leaf.
 
 Medians come from histograms, never from a sort: bytes are summed per (node,
 bin), the bin in which the median falls is found in the node's bounded
@@ -18,8 +21,8 @@ numbered within their cell.
 
 Edge cases: null text has no bytes (size 1) and forms a group of its own; null
 ids, sources and languages are coordinates of 0; one group larger than a shard
-is kept whole, so its shard exceeds the others; repeated rows are rows of one
-group; an empty table gives an empty result.
+is kept whole and alone, so its shard exceeds the others, which stay even;
+repeated rows are rows of one group; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,14 +51,14 @@ def _group_rows(docs: DataFrame) -> DataFrame:
         hashed("source").alias("d2"), hashed("lang").alias("d3"))
 
 
-def _medians(points: DataFrame, widths: DataFrame, bins: int, slack: float) -> DataFrame:
-    """Points with ``right``: whether they lie above their node's weighted median."""
+def _medians(points: DataFrame, widths: DataFrame, leaves: dict[int, int], bins: int, slack: float) -> DataFrame:
+    """Points with ``right``: whether they lie above the quantile that splits their node's leaves."""
     hash01 = F.pmod(F.xxhash64("group"), F.lit(1 << 52)).cast("double")
     value = F.element_at(F.array(*DIMS), F.col("dim"))
     pts = points.join(F.broadcast(widths), "node").select("group", "node", "weight", value.alias("v"), hash01.alias("h"))
     pts = scratch_table(pts, "kd_points")
     # per node: what the left half still lacks, and the open box (by value, then by hash)
-    state = {r["node"]: {"need": r["total"] / 2.0, "total": r["total"], "lo": r["lo"], "hi": r["hi"],
+    state = {r["node"]: {"need": r["total"] * (leaves[r["node"]] // 2) / leaves[r["node"]], "total": r["total"], "lo": r["lo"], "hi": r["hi"],
                          "by": "v", "at": None, "rules": []} for r in widths.collect()}
     rules: dict[int, dict] = {}
     while state:
@@ -99,14 +102,50 @@ def _medians(points: DataFrame, widths: DataFrame, bins: int, slack: float) -> D
     return pts.join(F.broadcast(table), "node").select("group", right.alias("right"))
 
 
+def _alone(points: DataFrame, leaves: dict[int, int]) -> tuple[DataFrame, list[tuple[bytes, int]]]:
+    """Takes groups as heavy as a leaf's share out of ``points`` and out of their node's ``leaves``; returns (group, leaf) too.
+
+    At most one group a leaf goes through the driver.
+    """
+    spark, placed = points.sparkSession, []
+    while any(n > 1 for n in leaves.values()):
+        total = {r["node"]: r["total"] for r in points.groupBy("node").agg(F.sum("weight").alias("total")).collect()}
+        shares = spark.createDataFrame([(k, w / leaves[k]) for k, w in total.items() if leaves[k] > 1], "node int, share double")
+        heavy = (points.join(F.broadcast(shares), "node").where(F.col("weight") >= F.col("share"))
+                 .select("node", "group", "weight").collect())
+        gone = []
+        for r in sorted(heavy, key=lambda r: (-r["weight"], bytes(r["group"]))):
+            k = r["node"]
+            if leaves[k] > 1 and r["weight"] * leaves[k] >= total[k]:
+                leaves[k] -= 1
+                total[k] -= r["weight"]
+                gone.append((bytes(r["group"]), k + leaves[k]))
+        if not gone:
+            break
+        placed += gone
+        out = spark.createDataFrame([(g,) for g, _ in gone], "group binary")
+        points = scratch_table(points.join(F.broadcast(out), "group", "left_anti"), "kd_rest")
+    return points, placed
+
+
 def kd_shards(groups: DataFrame, levels: int = LEVELS, bins: int = BINS, slack: float = SLACK) -> DataFrame:
     """group, shard for ``groups`` (group, weight, d0..d3): ``2**levels`` leaves near equal in weight.
 
-    The tables of nodes that go through the driver have at most ``2**levels`` rows.
+    A node is named by its first leaf.  The tables of nodes that go through the driver have at most
+    ``2**levels`` rows.
     """
+    spark = groups.sparkSession
     whole = groups.agg(*[(F.max(d) - F.min(d)).alias(d) for d in DIMS]).first()
-    points = groups.withColumn("node", F.lit(0))
-    for _ in range(levels):
+    points, leaves, placed, done = groups.withColumn("node", F.lit(0)), {0: 2 ** levels}, [], []
+    while True:
+        points, alone = _alone(points, leaves)
+        placed += alone
+        ends = [k for k, n in leaves.items() if n == 1]
+        done.append(points.where(F.col("node").isin(ends)).select("group", F.col("node").alias("shard")))
+        leaves = {k: n for k, n in leaves.items() if n > 1}
+        if not leaves:
+            break
+        points = points.where(~F.col("node").isin(ends))
         spread = points.groupBy("node").agg(
             F.sum("weight").alias("total"),
             *[F.struct((F.max(d) - F.min(d)).alias("span"), F.min(d).alias("lo"), F.max(d).alias("hi")).alias(d) for d in DIMS])
@@ -116,10 +155,18 @@ def kd_shards(groups: DataFrame, levels: int = LEVELS, bins: int = BINS, slack:
         widths = (spread.select("node", "total", F.greatest(*width).alias("x"))
                   .select("node", "total", "x.dim", "x.lo", "x.hi"))
         widths = scratch_table(widths, "kd_widths")
-        side = _medians(points, widths, bins, slack)
-        points = scratch_table(points.join(side, "group")
-                               .withColumn("node", F.col("node") * 2 + F.col("right").cast("int")).drop("right"), "kd_nodes")
-    return points.select("group", F.col("node").alias("shard"))
+        side = _medians(points, widths, leaves, bins, slack)
+        first = spark.createDataFrame([(k, n // 2) for k, n in leaves.items()], "node int, step int")
+        points = scratch_table(points.join(side, "group").join(F.broadcast(first), "node")
+                               .withColumn("node", F.col("node") + F.when(F.col("right"), F.col("step")).otherwise(0))
+                               .drop("right", "step").select(*groups.columns, "node"), "kd_nodes")
+        leaves = {x: m for k, n in leaves.items() for x, m in ((k, n // 2), (k + n // 2, n - n // 2))}
+    if placed:
+        done.append(spark.createDataFrame(placed, "group binary, shard int"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.union(d)
+    return out
 
 
 def shard(docs: DataFrame, levels: int = LEVELS, cells: int = CELLS) -> DataFrame:
