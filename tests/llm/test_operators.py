@@ -253,6 +253,15 @@ def test_one_of_each(messy):
     assert sorted(str(r["doc_id"]) for r in out.select("doc_id").collect()) == kept
 
 
+def test_one_row_of_each_group(spark):
+    """Repeated rows and groups of null ids alone leave one row; texts without words stay."""
+    from zonepulse.llm.near_dedup import one_of_each
+    rows = [(1, PARAGRAPH)] * 30 + [(2, PARAGRAPH + " x"), (None, PARAGRAPH)] + [(None, OTHER), (None, OTHER + " y"), (None, OTHER)]
+    rows += [(3, "alone"), (4, " "), (4, " "), (None, None)]
+    got = one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "3", "4", "4", "None", "None"]
+
+
 # ---- mixing
 
 def check_mix(rows, df):

@@ -116,6 +116,19 @@ def without_keys(rows: DataFrame, keys: DataFrame, cell_bits: int = 20) -> DataF
     return clear.unionByName(marked.where("hit").drop("hit").join(keys.select("key").distinct(), "key", "left_anti"))
 
 
+def once_a_key(rows: DataFrame, keys: DataFrame, cell_bits: int = 20) -> DataFrame:
+    """The ``rows`` (with a column key), those of a key in ``keys`` once.
+
+    Rows outside the hash cells of such keys are not moved; the others are reduced
+    before the shuffle, so a key with very many rows costs one row a task.
+    """
+    cell = F.pmod(F.xxhash64("key"), F.lit(1 << cell_bits))
+    cells = keys.select(cell.alias("cell")).distinct().withColumn("hit", F.lit(True))
+    marked = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left").drop("cell")
+    # keys that only share a cell have one row each, or the caller would name them too
+    return marked.where("hit IS NULL").drop("hit").unionByName(marked.where("hit").drop("hit").dropDuplicates(["key"]))
+
+
 def drop_scratch(spark: SparkSession | None = None) -> None:
     """Delete the scratch tables of this process, once the results that read them are written."""
     for path in list(_SCRATCH):

@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pick, row_key, scratch_table, text_batches, unpacked, without_keys
+from .common import WORD, once_a_key, packed, pick, row_key, scratch_table, text_batches, unpacked, without_keys
 from .components import components
 
 SHINGLE = 5
@@ -362,7 +362,7 @@ def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF,
                     chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``; with ``keyed`` also its ``row_key``."""
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``; with ``keyed`` also its ``row_key`` and its group's ``label``."""
     texts = text_batches(pick(docs, "doc_id", "text"))
     rows = scratch_table(_signed(texts, width), "near_rows")
     classes = (rows.where("cls IS NOT NULL").groupBy("cls")
@@ -406,18 +406,29 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
              .select("cls", "low_id", F.coalesce("label", "cls").alias("label")))
     named = scratch_table(named, "near_labels")
     lows = named.groupBy("label").agg(F.min("low_id").alias("component_id"))
-    of_class = scratch_table(named.join(scratch_table(lows, "near_lows"), "label").select("cls", "component_id"), "near_of_class")
+    of_class = scratch_table(named.join(scratch_table(lows, "near_lows"), "label").select("cls", "label", "component_id"), "near_of_class")
 
     group = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     result = (rows.join(of_class, "cls", "left")
-              .select("key", "doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"),
+              .select("key", "label", "doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"),
                       F.col("doc_id").eqNullSafe(group).alias("kept")))
-    return result if keyed else result.drop("key")
+    return result if keyed else result.drop("key", "label")
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with its own columns, one document of each group; texts move only if they may go."""
-    found = near_duplicates(docs, width, percent, keyed=True)
-    gone = scratch_table(found.where("NOT kept").select("key"), "near_gone")
-    rows = packed(docs, "doc_id", "text").withColumn("key", row_key()).select("key", "row_")
-    return unpacked(without_keys(rows, gone), docs.columns)
+    """``docs`` with its own columns, one row of each group; texts move only if they may go.
+
+    The row with the smallest id stays (null ids last), and of rows that repeat its id and text
+    one.  Texts without words are in no group and all stay.
+    """
+    found = near_duplicates(docs, width, percent, keyed=True).where("label IS NOT NULL")
+    keys = scratch_table(found.groupBy("label", "key").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")), "near_keys")
+    stays = keys.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("x")).select("label", F.col("x.key").alias("first"))
+    chosen = keys.join(scratch_table(stays, "near_stays"), "label")
+    gone = scratch_table(chosen.where("key <> first").select("key"), "near_gone")
+    again = scratch_table(chosen.where("key = first AND n > 1").select("key"), "near_again")
+    rows = packed(docs, "doc_id", "text").withColumn("key", row_key())
+    worded = F.coalesce(F.rlike("text", F.lit(WORD)), F.lit(False))
+    left = without_keys(rows.where(worded).select("key", "row_"), gone)
+    once = once_a_key(left, again).unionByName(rows.where(~worded).select("key", "row_"))
+    return unpacked(once, docs.columns)
