@@ -176,3 +176,84 @@ def op10(spark, sf_dir):
     return shard(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+UNITS = "regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]')"
+
+
+@register("op11_fill_in_middle", f"""
+    WITH u AS (SELECT doc_id, coalesce(text, '') AS t, {UNITS} AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    c AS (SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, {", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))} FROM u),
+    p AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+    x AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+                 coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM p)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(t) AS restored_sha256 FROM x""")
+def op11(spark, sf_dir):
+    from .fim import fill_in_middle, restored
+    return fill_in_middle(documents(spark, sf_dir)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({p}) AS VARCHAR) || ':' || {p}, '-')" for p in parts) + ")"
+
+
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), [CAST(0 AS BIGINT) FOR z IN range(8)]), lambda y, z: xor(y // 2, 3988292384 * (y % 2)))))"""
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Nodes of every level: tree, lvl, i, h and m, the nodes of the level."""
+    return f"""{name} AS (
+      SELECT tree, CAST(0 AS BIGINT) AS lvl, i, h, m FROM {base}
+      UNION ALL
+      SELECT tree, lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 15) // 16)
+      FROM {name} WHERE m > 1 GROUP BY tree, lvl, i // 16)"""
+
+
+def _steps_sql(rows: str, tree: str, part: int) -> str:
+    """The siblings before and after a row's own node, level by level."""
+    return f"""SELECT r.rid, {part} AS part, n.lvl, string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < r.i >> (4 * n.lvl)) AS pre,
+             string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > r.i >> (4 * n.lvl)) AS post
+      FROM {rows} r JOIN {tree} n ON n.tree = r.tree AND n.m > 1 AND n.i // 16 = (r.i >> (4 * n.lvl)) // 16 GROUP BY r.rid, n.lvl"""
+
+
+@register("op12_manifest", f"""
+    WITH RECURSIVE raw AS (
+      SELECT doc_id, coalesce('s' || source, '') AS tree, {_leaf_sql("text")} AS h,
+             CASE WHEN {CRC32_SQL} % 5 = 0 THEN {_leaf_sql(LOWER_SQL)} END AS shown FROM documents),
+    leaves AS (SELECT *, row_number() OVER () AS rid, CAST(row_number() OVER g - 1 AS BIGINT) AS i, CAST(count(*) OVER (PARTITION BY tree) AS BIGINT) AS m
+               FROM raw WINDOW g AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h)),
+    {_tree_sql("trees", "leaves")},
+    subs AS (SELECT '' AS tree, tree AS source, h, CAST(row_number() OVER (ORDER BY tree) - 1 AS BIGINT) AS i, CAST(count(*) OVER () AS BIGINT) AS m
+             FROM trees WHERE m = 1),
+    {_tree_sql("tops", "subs")},
+    at_top AS (SELECT l.rid, s.tree, s.i FROM leaves l JOIN subs s ON l.tree = s.source),
+    steps AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY part, lvl) AS step FROM (
+      {_steps_sql("leaves", "trees", 0)} UNION ALL {_steps_sql("at_top", "tops", 1)})),
+    proofs AS (SELECT rid, sha256(string_agg(coalesce(pre, '') || coalesce(post, ''), '' ORDER BY step)) AS proof, max(step) AS n FROM steps GROUP BY rid),
+    folds AS (
+      SELECT rid, CAST(0 AS BIGINT) AS step, coalesce(shown, h) AS h FROM leaves
+      UNION ALL
+      SELECT f.rid, s.step, sha256(coalesce(s.pre, '') || f.h || coalesce(s.post, '')) FROM folds f JOIN steps s ON s.rid = f.rid AND s.step = f.step + 1)
+    SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+    FROM leaves l JOIN subs s ON l.tree = s.source JOIN (SELECT h FROM tops WHERE m = 1) t ON true
+    LEFT JOIN proofs p ON p.rid = l.rid JOIN folds f ON f.rid = l.rid AND f.step = coalesce(p.n, 0)""")
+def op12(spark, sf_dir):
+    from .merkle import lower_ascii, manifest
+    return manifest(documents(spark, sf_dir), lower_ascii(F.col("text")), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
+@register("op13_neighbours")
+def op13(spark, sf_dir):
+    from .neighbours import nearest
+    return nearest(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
