@@ -172,7 +172,9 @@ def _points(rows: DataFrame, need: int, m: int, seed: int) -> DataFrame:
     asked = scratch_table(asking, "nn_queries")
     points = points.join(asked.select("key").distinct().withColumn("asks", F.lit(True)), "key", "left")
     points = points.select("key", "ids", F.coalesce("asks", F.lit(False)).alias("asks"), "v")
-    return scratch_table(points.mapInArrow(project, "key binary, ids array<bigint>, asks boolean, v binary, p array<double>"), "nn_points"), asked
+    points = points.mapInArrow(project, "key binary, ids array<bigint>, asks boolean, v binary, p array<double>")
+    # the root cell is written with them: a literal would turn the equi-joins on cells into nested loops
+    return scratch_table(points.withColumn("cell", F.lit(0).cast("long")), "nn_points"), asked
 
 
 def _cuts(sample: DataFrame, ways: int, block: int) -> DataFrame:
@@ -196,8 +198,7 @@ def _cuts(sample: DataFrame, ways: int, block: int) -> DataFrame:
 
 def _indexed(points: DataFrame, ways: int, block: int, sample: int) -> tuple[DataFrame, int]:
     """``points`` with their cell of the tree, and the tree's tiers; the children of a cell are cell * ways and on."""
-    at = points.withColumn("cell", F.lit(0).cast("long"))
-    n, tiers = points.count(), 0
+    at, n, tiers = points, points.count(), 0
     small = lambda t: F.broadcast(t) if tiers < SMALL_TIERS else t  # noqa: E731  at most ways**tiers rows
     most = math.ceil(math.log(max(n, 2) / block, ways)) + 2 if n > block else 0
     while tiers < most:
@@ -233,7 +234,7 @@ def _boxes(at: DataFrame, tiers: int, ways: int, m: int, block: int) -> list[Dat
 def _reached(asking: DataFrame, boxes: list[DataFrame], factor: float) -> DataFrame:
     """cell, block and query columns for every block whose cell the query's radius reaches, its own block left out."""
     gap = lambda x, i: F.greatest(x["low"][i] - F.col("p")[i], F.col("p")[i] - x["high"][i], F.lit(0.0))
-    at = asking.withColumn("up", F.lit(0).cast("long"))
+    at = asking
     for tier, table in enumerate(boxes):
         table = F.broadcast(table) if tier <= SMALL_TIERS else table        # at most WAYS**tier rows
         far = lambda x: sum(gap(x, i) * gap(x, i) for i in range(M))
@@ -258,7 +259,7 @@ def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str
     blocks = boxes[-1].select(F.explode("kids").alias("x")).select(F.col("x.cell").alias("cell"), F.col("x.blocks").alias("blocks"))
     at = at.join(F.broadcast(blocks) if tiers <= SMALL_TIERS else blocks, "cell")
     at = scratch_table(at.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).drop("blocks"), "nn_index")
-    found = "key binary, v binary, p array<double>, cell bigint, block int, bound double, near array<struct<d:double,id:bigint>>"
+    found = "key binary, v binary, p array<double>, cell bigint, block int, up bigint, bound double, near array<struct<d:double,id:bigint>>"
 
     def at_home(pdf):
         import pandas as pd
@@ -269,7 +270,7 @@ def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str
             near = own.search(vecs[i], proj[i], need, factor, math.inf)
             rows.append((near[-1][0] if len(near) == need else math.inf, [{"d": d, "id": x} for d, x in near]))
         out = pdf[pdf["asks"]][["key", "v", "p", "cell", "block"]].copy()
-        return out.assign(bound=[r[0] for r in rows], near=pd.Series([r[1] for r in rows], index=out.index, dtype=object))
+        return out.assign(up=0, bound=[r[0] for r in rows], near=pd.Series([r[1] for r in rows], index=out.index, dtype=object))
 
     home = scratch_table(at.groupBy("cell", "block").applyInPandas(at_home, found), "nn_home")
     away = scratch_table(_reached(home.drop("near"), boxes, factor), "nn_reached")
