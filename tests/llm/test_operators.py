@@ -208,23 +208,64 @@ def test_near_dense_group_in_many_chunks(spark):
         rows.append((i, " ".join(own)))
     rows += [(1000 + i, " ".join(f"z{rng.randrange(10 ** 6)}" for _ in range(40))) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    check_near(rows, near_duplicates(df, 2, leaf=4, chunk=32).collect(), 2)
+    check_near(rows, near_duplicates(df, 2, chunk=32).collect(), 2)
 
 
 def test_forest_finds_pairs_in_dense_families(spark):
-    """Signatures that agree in a third of the values at random; planted pairs of 0.8 must be candidates or tied."""
+    """Signatures that agree in a third of the values at random; planted pairs of 0.8 must be candidates, tied or joined exactly."""
     import numpy as np
-    from zonepulse.llm.near_dedup import SIG, forest_pairs
+    from zonepulse.llm.near_dedup import SIG, forest
     rng = np.random.default_rng(4)
-    sig = rng.integers(0, 3, (20000, SIG)).astype(np.uint16)
+    sig = rng.integers(0, 3, (20000, SIG)).astype(np.uint8)
     for i in range(0, 1000, 2):
-        at = rng.permutation(SIG)[:32]
+        at = rng.permutation(SIG)[:SIG // 5]
         sig[i + 1] = sig[i]
         sig[i + 1, at] = (sig[i, at] + 1) % 3
     rows = [(i.to_bytes(16, "big"), s.tobytes()) for i, s in enumerate(sig)]
-    got = forest_pairs(spark.createDataFrame(rows, "cls binary, sig binary"), leaf=2).where("hex(a) < hex(b)").collect()
-    got = {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in got}
-    assert all((i, i + 1) in got for i in range(0, 1000, 2))
+    number = lambda x: int.from_bytes(x, "big")
+    known, edges, dense = forest(spark.createDataFrame(rows, "cls binary, sig binary"))
+    tie = {number(r["cls"]): number(r["tie"]) for r in known.collect()}
+    got = {(number(r["a"]), number(r["b"])) for r in edges.collect()}
+    left = {number(r["a"]) for r in dense.collect()}
+    assert all(tie[i] == tie[i + 1] or (i, i + 1) in got or {i, i + 1} <= left for i in range(0, 1000, 2))
+
+
+@pytest.mark.parametrize("shared,per_family", [(0, 2), (40, 1500), (60, 1500)])
+def test_planted_pairs_in_families_of_any_density(spark, shared, per_family):
+    """Texts of 100 words that share a template of ``shared`` words with their family; pairs at 0.8 to 0.85 of their shingles."""
+    from zonepulse.llm.near_dedup import near_duplicates
+    rng = random.Random(shared)
+    rows, planted = [], []
+    for i in range(1500):
+        template = [f"t{i // per_family}.{j}" for j in range(shared)]
+        text = template + [f"u{i}.{j}" for j in range(100 - shared)]
+        rows.append((2 * i, " ".join(text)))
+        if i % 10 == 0:
+            copy = list(text)
+            for at in rng.sample(range(shared, 100), 4):
+                copy[at] = f"v{i}.{at}"
+            rows.append((2 * i + 1, " ".join(copy)))
+            planted.append((2 * i, 2 * i + 1))
+    sets = {d: B.shingles(t, 2) for d, t in rows}
+    near = [(a, b) for a, b in planted if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    assert len(near) > 100
+    found = sum(got[b] == a for a, b in near)
+    assert found >= 0.99 * len(near), (found, len(near))
+    assert sum(got[d] != d for d in got) == found
+
+
+def test_dense_classes_are_joined_exactly(spark):
+    """What the further orders leave dense: near pairs among many texts that look alike."""
+    from zonepulse.llm import near_dedup as N
+    rows = [(i, " ".join([f"t{j}" for j in range(50)] + [f"u{i}.{j}" for j in range(30)])) for i in range(80)]
+    rows += [(100 + i, t.rsplit(" ", 2)[0] + " other end") for i, t in rows[:9]]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = N._signed(texts, 2)
+    ids = {bytes(r["cls"]): r["doc_id"] for r in classes.collect()}
+    edges = N._dense_edges(classes.select(N.F.col("cls").alias("a")), classes.select("cls", "key", "sig"), texts, 2, 80).collect()
+    got = {tuple(sorted((ids[bytes(r["a"])], ids[bytes(r["b"])]))) for r in edges}
+    assert {(i, 100 + i) for i in range(9)} <= got and len(got) < 80
 
 
 def test_asking_texts_come_in_blocks_of_fixed_size(spark):

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import scratch_table
 
 
+def _written(df: DataFrame, name: str, what: Column) -> tuple[DataFrame, int]:
+    """``df`` written as a scratch table, and how many rows fulfil ``what``, counted while writing."""
+    seen = Observation()
+    table = scratch_table(df.observe(seen, F.count_if(what).alias("n")), name)
+    return table, int(seen.get["n"])
+
+
 def _roots(hooks: DataFrame) -> DataFrame:
     """node, label with each label replaced by the end of its chain of labels, by pointer jumping."""
     while True:
         up = hooks.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        after = scratch_table(hooks.join(up, "label").select("node", F.col("label").alias("old"), F.col("above").alias("label")), "cc_roots")
+        jumped = hooks.join(up, "label").select("node", F.col("label").alias("old"), F.col("above").alias("label"))
+        after, changed = _written(jumped, "cc_roots", F.col("old") != F.col("label"))
         hooks = after.select("node", "label")
-        if after.where("old <> label").isEmpty():
+        if not changed:
             return hooks
 
 
@@ -38,6 +46,6 @@ def components(edges: DataFrame) -> DataFrame:
             top = roots.select(F.col("node").alias("label"), F.col("label").alias("top"))
             result = scratch_table(result.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "cc_labels")
         at = lambda c: roots.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-        e = scratch_table(e.join(at("a"), "a").join(at("b"), "b").where("la <> lb").select(*ends("la", "lb")).distinct(), "cc_edges")
-        if e.isEmpty():
+        e, left = _written(e.join(at("a"), "a").join(at("b"), "b").where("la <> lb").select(*ends("la", "lb")).distinct(), "cc_edges", F.lit(True))
+        if not left:
             return result

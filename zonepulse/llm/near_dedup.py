@@ -1,21 +1,22 @@
 """Near-duplicate groups by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
 1. Each text becomes a set of word-shingle hashes and a signature of ``SIG``
-   minima.  Texts with the same set are one class; only classes go on.
-2. Forest: ``TREES`` orders of the signature's values.  In an order, classes that
-   share their first values stand side by side when sorted; the length of the
-   shared prefix is their depth.  A region (one prefix) of at most ``LEAF`` classes
-   is a leaf and all its pairs are candidates; a larger region is cut at the next
-   depth of ``DEPTHS``, down to the whole signature, so the depth adapts to each
-   region's density.  From ``STAR`` on, the members of a dense region are held
-   against its smallest one at once.  Those near it are tied to it; pairs of
-   members with the same tie are in one cluster already and are not listed again.
-   Classes of dense regions that ties leave in parts go through ``MORE`` further
-   orders, which start at ``STAR`` values.
-3. Candidates whose signatures agree in at least ``ROUGH`` of the values are
-   edges; their components are clusters.  Clusters only gather what must be
+   minima, a byte each.  Texts with the same set are one class; only classes go on.
+2. Forest: ``TREES`` orders of the signature's bytes.  Classes are sorted by the bytes in
+   each order, and those next to each other share the longest prefixes.  A class and its
+   neighbours are candidates as long as they share ``FIRST`` bytes; how deep the prefix goes
+   beyond that follows from the region's density.  Candidates whose signatures agree in at
+   least ``ROUGH`` of the bytes are edges; both are decided inside the sorted pass.
+3. The first ``LEADING`` orders tie what is obviously near.  Their components are labels, and
+   in the other orders a neighbour is the next class with another label: members of a large
+   group are passed over, so a group of any size proposes no pairs of its own again.
+4. A class looks at ``WIDTH`` such neighbours on each side.  If all of them share ``FIRST``
+   bytes the region is dense and more may follow: such classes, and only they, go through
+   ``MORE`` further orders.  Where the last neighbour shares ``DEEP`` bytes even there,
+   the classes are joined exactly, by a prefix filter on rare shingles.
+5. Components of all edges are clusters.  Clusters only gather what must be
    compared, and decide nothing.
-4. Exact step: each cluster's texts are compared on their full sets in chunks of
+6. Exact step: each cluster's texts are compared on their full sets in chunks of
    about ``CHUNK`` classes with a few pivots of the cluster in every chunk.
    Texts that a chunk did not join to the cluster's largest component ask on: an
    equi-join on rare shingles (prefix filter with sizes and places, exact) finds
@@ -24,14 +25,14 @@
    task, never all pairs of a group.
 
 Two texts above the threshold are missed only if no chain of candidates puts
-them into one cluster.  At similarity 0.8 a pair shares a prefix of 5 values in
-one of 32 orders but for 3 in 10**6 cases, of 7 values but for 6 in 10**4; the
-further orders of dense regions are for the longer prefixes.
+them into one cluster: for a pair alone, if it shares ``FIRST`` bytes in no order; in a dense region, if it shares
+``DEEP`` in none of the further orders; the README has the measured shares.  Neighbours on two sides of a range's border are not seen in
+that order.
 
 Edge cases: null and blank texts have an empty set and are linked with nothing;
-shorter texts than a shingle are one shingle; rows with null ids take part, and a
-group of null ids alone has a null component; rows that repeat an id are kept
-or dropped alike; an empty table gives an empty result.
+shorter texts than a shingle are one shingle; texts of any length are taken whole (one set of hashes in a
+task); rows with null ids take part, and a group of null ids alone has a null component; rows that repeat an id are
+kept or dropped alike; an empty table gives an empty result; other columns are left out before any is added.
 """
 
 from __future__ import annotations
@@ -45,15 +46,16 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
+SIG = 64
 TREES = 32
-FIRST = 5               # values of its own that each tree starts with
-SIG = TREES * FIRST
-DEPTHS = (5, 7, 9, 12, 16, 20, 28, 40, 64, 100, SIG)
-STAR = 7
-MORE = 96               # further orders for what is dense at ``STAR`` values
-LEAF = 16
-SHORT = 64              # signature bytes that estimate a candidate's similarity
+LEADING = 4             # orders whose components are labels for the others
+FIRST = 5               # bytes that candidates share
+MORE = 64               # further orders for dense regions
+DEEP = 9                # bytes from which classes of a dense region are joined exactly
+WIDTH = 2               # neighbours with another label on each side
 ROUGH = 0.55
+BLOCK = 1 << 16         # sorted entries that a task holds at a time
+CARRY = 512             # and those it keeps from the block before
 CHUNK = 256
 PIVOTS = 8
 ASKS = 128              # asking texts in a block
@@ -101,18 +103,19 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for at in range(0, len(hashes), 256):                       # blocks that stay in the cache
         np.minimum(low, (hashes[at:at + 256, None] * a + b).min(axis=0), out=low)
     low = (low ^ (low >> np.uint64(31))) * np.uint64(MIX[1])
-    return (low >> np.uint64(48)).astype(np.uint16)
+    return (low >> np.uint64(56)).astype(np.uint8)
 
 
-def _orders(more: bool = False) -> np.ndarray:
-    """The signature places in each tree's order: its own five values, then those of the others; or further orders."""
-    if more:
-        rng = np.random.default_rng(20240612)
-        return np.array([rng.permutation(SIG) for _ in range(MORE)])
-    first = [0, 7, 13, 22]
-    shifts = first + [x for x in range(TREES) if x not in first]
-    places = np.arange(SIG).reshape(TREES, FIRST)
-    return np.array([np.concatenate([places[(t + x) % TREES] for x in shifts]) for t in range(TREES)])
+def _orders() -> np.ndarray:
+    """The signature's places in each tree's order; the first ``FIRST`` places of consecutive trees differ."""
+    rng = np.random.default_rng(20240612)
+    deck, out = np.zeros(0, np.int64), []
+    for _ in range(TREES + MORE):
+        if len(deck) < FIRST:
+            deck = rng.permutation(SIG)
+        head, deck = deck[:FIRST], deck[FIRST:]
+        out.append(np.concatenate([head, rng.permutation(np.setdiff1d(np.arange(SIG), head))]))
+    return np.array(out)
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -135,133 +138,126 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "key binary, doc_id bigint, n bigint, cls binary, sig binary")
 
 
-def _entries(classes: DataFrame, first: int, more: bool) -> DataFrame:
-    """One row a class and tree: cls, tree, k (hash of the tree and its first values)."""
+def _entries(classes: DataFrame, first: int, last: int) -> DataFrame:
+    """tree, place (the signature in the tree's order), cls and label of every class (cls, sig, label) and tree."""
     def run(batches):
         import pyarrow as pa
-        orders = _orders(more)[:, :first]
-        n = len(orders)
-        trees = np.arange(n, dtype=np.uint64) * np.uint64(MIX[2]) + np.uint64(more)
+        orders = _orders()[first:last]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)
-            own = sig[:, orders].astype(np.uint64)
-            k = np.broadcast_to(trees, own.shape[:2])
-            for i in range(first):
-                k = (k ^ own[:, :, i]) * np.uint64(MIX[0])
-                k = k ^ (k >> np.uint64(32))
-            at = np.repeat(np.arange(batch.num_rows), n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cls").take(pa.array(at)), pa.array(np.tile(np.arange(n, dtype=np.int32), batch.num_rows)),
-                 pa.array(k.ravel().view(np.int64))], ["cls", "tree", "k"])
-    return classes.select("cls", "sig").mapInArrow(run, "cls binary, tree int, k bigint")
-
-
-def _deeper(entries: DataFrame, classes: DataFrame, first: int, more: bool) -> DataFrame:
-    """Entries (cls, tree, k, tie) with ``rest``: the values of their tree's order behind the first ones."""
-    def run(batches):
-        import pyarrow as pa
-        orders = _orders(more)[:, first:]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)
-            rest = np.take_along_axis(sig, orders[batch.column("tree").to_numpy()], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), batch.column("k"), batch.column("tie"), pa.array([r.tobytes() for r in rest], pa.binary())],
-                ["cls", "k", "tie", "rest"])
-    return (entries.join(classes.select("cls", "sig"), "cls").select("cls", "tree", "k", "tie", "sig")
-            .mapInArrow(run, "cls binary, k bigint, tie binary, rest binary"))
-
-
-def _tied(dense: DataFrame, short: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The edges from dense regions' smallest members, and the regions' entries with their ties, if more than one is left."""
-    stars = dense.where("cls > low").select(F.col("low").alias("a"), F.col("cls").alias("b")).distinct()
-    stars = scratch_table(rough_edges(stars, short), "forest_stars")
-    near = stars.select(F.col("a").alias("low"), F.col("b").alias("cls"), F.lit(True).alias("near"))
-    tied = dense.join(near, ["low", "cls"], "left").withColumn("tie", F.when(F.col("near"), F.col("low_tie")).otherwise(F.col("tie")))
-    tied = scratch_table(tied.drop("near", "low", "low_tie"), "forest_tied")
-    tie = F.coalesce("tie", "cls")
-    parts = tied.groupBy("k").agg(F.min(tie).alias("x"), F.max(tie).alias("y")).where("x <> y").select("k")
-    return stars, tied.join(scratch_table(parts, "forest_parts"), "k", "left_semi")
-
-
-def _forest(classes: DataFrame, short: DataFrame, leaf: int, more: bool) -> tuple[list[DataFrame], DataFrame | None]:
-    """Tables of candidate pairs from one family of orders, and the classes that ties leave in dense regions at ``STAR``."""
-    depths = [d for d in DEPTHS if not more or d >= STAR]
-    first, pairs, untied = depths[0], [], None
-    at, rest = _entries(classes, first, more).withColumn("tie", F.lit(None).cast("binary")), None
-    for level, depth in enumerate(depths):
-        if level:
-            start = 2 * (depth - first)     # bytes of ``rest`` that this depth has used up
-            before = 2 * (depths[level - 1] - first)
-            at = at.withColumn("k", F.xxhash64("k", F.substring("rest", before + 1, start - before)))
-        regions = (at.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("cls", "tie")).alias("x"))
-                   .where("c > 1").select("k", "c", F.col("x.cls").alias("low"), F.coalesce("x.tie", "x.cls").alias("low_tie")))
-        kept = at.join(scratch_table(regions, "forest_regions"), "k")
-        kept = scratch_table(kept, "forest_entries")
-        small = (kept.where(F.col("c") <= leaf).groupBy("k").agg(F.sort_array(F.collect_list(F.struct("cls", "tie"))).alias("all"))
-                 .select("all", F.posexplode("all").alias("i", "a")))
-        # what has the same tie is in one cluster already
-        others = small.select("a", F.explode(F.slice("all", F.col("i") + 2, F.lit(leaf))).alias("b")).where("coalesce(a.tie, a.cls) <> coalesce(b.tie, b.cls)")
-        pairs.append(others.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")))
-        dense = kept.where(F.col("c") > leaf).drop("c")
-        if dense.isEmpty():
-            break
-        if depth >= STAR:
-            stars, dense = _tied(dense, short)
-            pairs.append(stars)
-            if untied is None:
-                untied = dense.select("cls").distinct()
-            if dense.isEmpty():
-                break
-        else:
-            dense = dense.drop("low", "low_tie")
-        at = scratch_table(_deeper(dense, classes, first, more), "forest_dense") if rest is None else dense
-        rest = True
-    return pairs, untied
-
-
-def shortened(classes: DataFrame) -> DataFrame:
-    """cls, short: the signature bytes that ``rough_edges`` compares."""
-    def run(batches):
-        import pyarrow as pa
-        for b in batches:
-            if b.num_rows:
-                sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(-1, SIG)[:, :SHORT].astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array([s.tobytes() for s in sig], pa.binary())], ["cls", "short"])
-    return scratch_table(classes.select("cls", "sig").mapInArrow(run, "cls binary, short binary"), "near_short")
-
-
-def forest_pairs(classes: DataFrame, leaf: int = LEAF, short: DataFrame | None = None) -> DataFrame:
-    """Candidate pairs (a < b) of ``classes`` (cls, sig)."""
-    short = shortened(classes) if short is None else short
-    pairs, untied = _forest(classes, short, leaf, False)
-    if untied is not None and not untied.isEmpty():
-        again = scratch_table(classes.select("cls", "sig").join(untied, "cls", "left_semi"), "forest_again")
-        pairs += _forest(again, short, leaf, True)[0]
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.union(p)
-    return out.distinct()
-
-
-def rough_edges(pairs: DataFrame, classes: DataFrame, rough: float = ROUGH) -> DataFrame:
-    """The pairs whose signatures agree in at least ``rough`` of ``SHORT`` values."""
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, SIG)
+            for at in range(0, len(sig), 256):                  # 8,192 entries a batch
+                part = sig[at:at + 256]
+                rows = pa.array(np.tile(np.arange(at, at + len(part)), len(orders)))
+                place = np.ascontiguousarray(part[:, orders].transpose(1, 0, 2)).reshape(-1, SIG)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.arange(first, last, dtype=np.int32), len(part))), pa.array([p.tobytes() for p in place], pa.binary()),
+                     batch.column("cls").take(rows), batch.column("label").take(rows)], ["tree", "place", "cls", "label"])
+    return classes.select("cls", "sig", "label").mapInArrow(run, "tree int, place binary, cls binary, label bigint")
+
+
+def _onward(place: np.ndarray, tree: np.ndarray, label: np.ndarray, width: int, deep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted entries i and j, j one of the ``width`` next ones with another label, that are near; and the i in dense regions."""
+    n = len(tree)
+    cuts = np.append(np.flatnonzero(label[1:] != label[:-1]) + 1, n)
+    end = cuts[np.searchsorted(cuts, np.arange(n), "right")]    # behind each entry's run of one label
+    i, j, pairs = np.arange(n), end, []
+    for step in range(width):
+        if step:
+            j = j + 1
+            same = (j < n) & (label[np.minimum(j, n - 1)] == label[i])
+            j = np.where(same, end[np.minimum(j, n - 1)], j)
+        here = (j < n) & (tree[np.minimum(j, n - 1)] == tree[i])
+        i, j = i[here], j[here]
+        equal = place[i] == place[j]
+        depth = np.where(equal.all(axis=1), SIG, equal.argmin(axis=1))
+        i, j, equal, depth = (x[depth >= FIRST] for x in (i, j, equal, depth))
+        near = equal.mean(axis=1) >= ROUGH
+        pairs.append(np.column_stack([i[near], j[near]]))
+    pairs = np.concatenate(pairs)
+    return pairs[:, 0], pairs[:, 1], i[depth >= deep]
+
+
+def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = FIRST) -> DataFrame:
+    """a, b: near neighbours (a < b) in the sorted orders; with b null: classes whose last neighbour shares ``deep`` bytes."""
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SHORT) for c in ("sa", "sb"))
-            near = pa.array((x == y).mean(axis=1) >= rough)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
 
-    short = classes.select("cls", "short")
-    wide = (pairs.join(short.select(F.col("cls").alias("a"), F.col("short").alias("sa")), "a")
-            .join(short.select(F.col("cls").alias("b"), F.col("short").alias("sb")), "b"))
-    return wide.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+        def found(tree, place, cls, label):
+            n, out, dense = len(tree), [], []
+            for back in (False, True):
+                x = [v[::-1] if back else v for v in (place, tree, label)]
+                i, j, more = _onward(*x, width, deep)
+                out.append(np.column_stack([i, j]) if not back else n - 1 - np.column_stack([j, i]))
+                dense.append(n - 1 - more if back else more)
+            pairs = {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in np.concatenate(out)}
+            return sorted(pairs) + [(c, None) for c in sorted({cls[i] for i in np.concatenate(dense)})]
+
+        held, rows = [], 0
+        empty = pa.RecordBatch.from_arrays([pa.array([], pa.int32()), *[pa.array([], pa.binary())] * 2, pa.array([], pa.int64())], ["tree", "place", "cls", "label"])
+        for batch in (*batches, None):
+            if batch is not None:
+                held.append(batch)
+                rows += batch.num_rows
+                if rows < BLOCK:
+                    continue
+            table = pa.Table.from_batches(held or [empty]).combine_chunks()
+            if table.num_rows:
+                place = np.frombuffer(b"".join(table["place"].to_pylist()), np.uint8).reshape(-1, SIG)
+                pairs = found(table["tree"].to_numpy(), place, table["cls"].to_pylist(), table["label"].to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+            held = table.slice(max(0, table.num_rows - CARRY)).to_batches()
+            rows = sum(b.num_rows for b in held)
+    order = ("tree", "place", "cls")
+    return entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _dense_edges(dense: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: all pairs of the ``dense`` classes that may be near, by the exact prefix filter."""
+    named = _with_texts(classes.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi").select("cls", "key"), texts)
+    named = named.select("cls", F.unhex(F.lit("")).alias("cluster"), F.col("cls").alias("label"), F.lit(0).alias("chunk"), F.lit(True).alias("asks"), "text")
+    pairs = _candidates(scratch_table(_sets(named, width), "near_dense"), percent)
+    return pairs.select(F.col("q").alias("a"), F.col("o").alias("b"))
+
+
+def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cls, tie) of the ``classes`` (cls, sig) after the leading orders, further edges (a, b), and the classes (a) to be joined exactly."""
+    alone = classes.select("cls", "sig", F.xxhash64("cls").alias("label"))
+    ties = scratch_table(neighbours(_entries(alone, 0, LEADING), 1, SIG), "near_ties").where("b IS NOT NULL")
+    tied = components(ties).select(F.col("node").alias("cls"), F.col("label").alias("tie"))
+    known = scratch_table(classes.select("cls", "sig").join(tied, "cls", "left").withColumn("tie", F.coalesce("tie", "cls")), "near_tied")
+    labelled = known.select("cls", "sig", F.xxhash64("tie").alias("label"))
+    found = scratch_table(neighbours(_entries(labelled, LEADING, TREES)), "near_neighbours")
+    edges, dense = found.where("b IS NOT NULL"), found.where("b IS NULL").select("a")
+    if not dense.isEmpty():
+        again = labelled.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi")
+        more = scratch_table(neighbours(_entries(again, TREES, TREES + MORE), deep=DEEP), "near_further")
+        edges, dense = edges.unionByName(more.where("b IS NOT NULL")), more.where("b IS NULL").select("a")
+    return known.select("cls", "tie"), edges, dense
+
+
+def gathered(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """cls, cluster and m, the cluster's size, of the ``classes`` (cls, key, sig) that have to be compared with others."""
+    known, edges, dense = forest(classes)
+    if not dense.isEmpty():
+        edges = edges.unionByName(scratch_table(_dense_edges(dense, classes, texts, width, percent), "near_dense_edges"))
+    at = lambda c: known.select(F.col("cls").alias(c), F.col("tie").alias(f"t{c}"))
+    between = edges.join(at("a"), "a").join(at("b"), "b").where("ta <> tb").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
+    tops = components(between).select(F.col("node").alias("tie"), F.col("label").alias("top"))
+    clusters = known.join(tops, "tie", "left").select("cls", F.coalesce("top", "tie").alias("cluster"))
+    clusters = scratch_table(clusters, "near_clusters")
+    many = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return scratch_table(clusters.join(many, "cluster"), "near_gathered")
+
+
+def _with_texts(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """``places`` (cls, key, ..) with the text of each class's key; only texts that may be among them move."""
+    cell = F.pmod(F.xxhash64("key"), F.lit(1 << CELL_BITS)).alias("cell")
+    wanted = places.select(cell).distinct()                    # 2**CELL_BITS rows at most, whatever the input
+    near = (texts.select(row_key().alias("key"), "text").withColumn("cell", cell)
+            .join(F.broadcast(wanted), "cell", "left_semi").drop("cell"))
+    return places.join(near, "key").dropDuplicates(["cls"]).drop("key")
 
 
 def _similar(sets: list[np.ndarray], queries: range | list[int], percent: int):
@@ -360,29 +356,20 @@ def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("cluster", "block", "chunk").applyInPandas(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF,
-                    chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``; with ``keyed`` also its ``row_key`` and its group's ``label``."""
     texts = text_batches(pick(docs, "doc_id", "text"))
     rows = scratch_table(_signed(texts, width), "near_rows")
     classes = (rows.where("cls IS NOT NULL").groupBy("cls")
                .agg(F.min("doc_id").alias("low_id"), F.min("key").alias("key"), F.first("sig").alias("sig"), F.max("n").alias("n")))
     classes = scratch_table(classes, "near_classes")
-    short = shortened(classes)
-    edges = rough_edges(scratch_table(forest_pairs(classes, leaf, short), "near_pairs"), short)
-    clusters = components(scratch_table(edges, "near_edges")).select(F.col("node").alias("cls"), F.col("label").alias("cluster"))
+    clusters = gathered(classes.select("cls", "key", "sig"), texts, width, percent)
 
-    sizes = scratch_table(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")), "near_sizes")
     chunks = F.ceil(F.col("m") / chunk).cast("int")
-    places = (clusters.join(sizes, "cluster").join(classes.select("cls", "key"), "cls")
+    places = (clusters.join(classes.select("cls", "key"), "cls")
               .select("key", "cls", "cluster", chunks.alias("chunks"), F.pmod(F.xxhash64("cls"), chunks).cast("int").alias("chunk"),
                       ((chunks > 1) & (F.pmod(F.xxhash64("cls", F.lit(1)), F.ceil(F.col("m") / PIVOTS)) == 0)).alias("pivot")))
-    places = scratch_table(places, "near_places")
-    cell = F.pmod(F.xxhash64("key"), F.lit(1 << CELL_BITS)).alias("cell")
-    wanted = places.select(cell).distinct()                    # 2**CELL_BITS rows at most, whatever the input
-    near = (texts.select(row_key().alias("key"), "text").withColumn("cell", cell)
-            .join(F.broadcast(wanted), "cell", "left_semi").drop("cell"))
-    members = scratch_table(places.join(near, "key").dropDuplicates(["cls"]).drop("key"), "near_members")
+    members = scratch_table(_with_texts(scratch_table(places, "near_places"), texts), "near_members")
 
     everywhere = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
     dealt = members.select("cluster", "cls", "text", F.explode(everywhere).alias("chunk"))
