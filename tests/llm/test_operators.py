@@ -223,11 +223,11 @@ def test_forest_finds_pairs_in_dense_families(spark):
         sig[i + 1, at] = (sig[i, at] + 1) % 3
     rows = [(i.to_bytes(16, "big"), s.tobytes()) for i, s in enumerate(sig)]
     number = lambda x: int.from_bytes(x, "big")
-    known, edges, dense = forest(spark.createDataFrame(rows, "cls binary, sig binary"))
+    known, dense = forest(spark.createDataFrame(rows, "cls binary, sig binary"))
     tie = {number(r["cls"]): number(r["tie"]) for r in known.collect()}
-    got = {(number(r["a"]), number(r["b"])) for r in edges.collect()}
     left = {number(r["a"]) for r in dense.collect()}
-    assert all(tie[i] == tie[i + 1] or (i, i + 1) in got or {i, i + 1} <= left for i in range(0, 1000, 2))
+    assert all(tie[i] == tie[i + 1] or {i, i + 1} <= left for i in range(0, 1000, 2))
+    assert len(set(tie.values())) > 15000
 
 
 @pytest.mark.parametrize("shared,per_family", [(0, 2), (40, 1500), (60, 1500)])
@@ -263,7 +263,7 @@ def test_dense_classes_are_joined_exactly(spark):
     texts = spark.createDataFrame(rows, "doc_id bigint, text string")
     classes = N._signed(texts, 2)
     ids = {bytes(r["cls"]): r["doc_id"] for r in classes.collect()}
-    edges = N._dense_edges(classes.select(N.F.col("cls").alias("a")), classes.select("cls", "key", "sig"), texts, 2, 80).collect()
+    edges = N._dense_edges(classes.select(N.F.col("cls").alias("a")), classes.select("cls", "key", N.F.col("cls").alias("tie")), texts, 2, 80).collect()
     got = {tuple(sorted((ids[bytes(r["a"])], ids[bytes(r["b"])]))) for r in edges}
     assert {(i, 100 + i) for i in range(9)} <= got and len(got) < 80
 

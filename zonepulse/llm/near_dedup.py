@@ -48,7 +48,7 @@ SHINGLE = 5
 PERCENT = 80
 SIG = 64
 TREES = 32
-LEADING = 4             # orders whose components are labels for the others
+LEADING = 8             # orders whose components are labels for the others
 FIRST = 5               # bytes that candidates share
 MORE = 64               # further orders for dense regions
 DEEP = 9                # bytes from which classes of a dense region are joined exactly
@@ -158,11 +158,11 @@ def _entries(classes: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def _onward(place: np.ndarray, tree: np.ndarray, label: np.ndarray, width: int, deep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted entries i and j, j one of the ``width`` next ones with another label, that are near; and the i in dense regions."""
+    """Sorted entries i and j, j the first near one among the ``width`` next with another label; and the i in dense regions."""
     n = len(tree)
     cuts = np.append(np.flatnonzero(label[1:] != label[:-1]) + 1, n)
     end = cuts[np.searchsorted(cuts, np.arange(n), "right")]    # behind each entry's run of one label
-    i, j, pairs = np.arange(n), end, []
+    i, j, pairs, open_ = np.arange(n), end, [], np.ones(n, bool)
     for step in range(width):
         if step:
             j = j + 1
@@ -173,7 +173,8 @@ def _onward(place: np.ndarray, tree: np.ndarray, label: np.ndarray, width: int,
         equal = place[i] == place[j]
         depth = np.where(equal.all(axis=1), SIG, equal.argmin(axis=1))
         i, j, equal, depth = (x[depth >= FIRST] for x in (i, j, equal, depth))
-        near = equal.mean(axis=1) >= ROUGH
+        near = (equal.mean(axis=1) >= ROUGH) & open_[i]
+        open_[i[near]] = False
         pairs.append(np.column_stack([i[near], j[near]]))
     pairs = np.concatenate(pairs)
     return pairs[:, 0], pairs[:, 1], i[depth >= deep]
@@ -191,7 +192,10 @@ def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = FIRST) -> Dat
                 i, j, more = _onward(*x, width, deep)
                 out.append(np.column_stack([i, j]) if not back else n - 1 - np.column_stack([j, i]))
                 dense.append(n - 1 - more if back else more)
-            pairs = {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in np.concatenate(out)}
+            at = np.concatenate(out)
+            ends = np.sort(label[at], axis=1)                   # two labels are tied once a block
+            at = at[np.unique(ends, axis=0, return_index=True)[1]]
+            pairs = {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in at}
             return sorted(pairs) + [(c, None) for c in sorted({cls[i] for i in np.concatenate(dense)})]
 
         held, rows = [], 0
@@ -214,39 +218,45 @@ def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = FIRST) -> Dat
 
 
 def _dense_edges(dense: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: all pairs of the ``dense`` classes that may be near, by the exact prefix filter."""
-    named = _with_texts(classes.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi").select("cls", "key"), texts)
-    named = named.select("cls", F.unhex(F.lit("")).alias("cluster"), F.col("cls").alias("label"), F.lit(0).alias("chunk"), F.lit(True).alias("asks"), "text")
+    """a, b: all pairs of the ``dense`` classes of different ties that may be near, by the exact prefix filter."""
+    named = _with_texts(classes.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi").select("cls", "key", "tie"), texts)
+    named = named.select("cls", F.unhex(F.lit("")).alias("cluster"), F.col("tie").alias("label"), F.lit(0).alias("chunk"), F.lit(True).alias("asks"), "text")
     pairs = _candidates(scratch_table(_sets(named, width), "near_dense"), percent)
-    return pairs.select(F.col("q").alias("a"), F.col("o").alias("b"))
-
-
-def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cls, tie) of the ``classes`` (cls, sig) after the leading orders, further edges (a, b), and the classes (a) to be joined exactly."""
-    alone = classes.select("cls", "sig", F.xxhash64("cls").alias("label"))
-    ties = scratch_table(neighbours(_entries(alone, 0, LEADING), 1, SIG), "near_ties").where("b IS NOT NULL")
-    tied = components(ties).select(F.col("node").alias("cls"), F.col("label").alias("tie"))
-    known = scratch_table(classes.select("cls", "sig").join(tied, "cls", "left").withColumn("tie", F.coalesce("tie", "cls")), "near_tied")
-    labelled = known.select("cls", "sig", F.xxhash64("tie").alias("label"))
-    found = scratch_table(neighbours(_entries(labelled, LEADING, TREES)), "near_neighbours")
-    edges, dense = found.where("b IS NOT NULL"), found.where("b IS NULL").select("a")
+    return scratch_table(pairs.select(F.col("q").alias("a"), F.col("o").alias("b")), "near_dense_edges")
+
+
+def _merged(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """``known`` (cls, sig, tie) with the ties that follow from further ``edges`` (a, b) between classes."""
+    at = lambda c: known.select(F.col("cls").alias(c), F.col("tie").alias(f"t{c}"))
+    between = edges.join(at("a"), "a").join(at("b"), "b").where("ta <> tb").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
+    tops = components(between).select(F.col("node").alias("tie"), F.col("label").alias("top"))
+    return scratch_table(known.join(tops, "tie", "left").withColumn("tie", F.coalesce("top", "tie")).drop("top"), "near_tied")
+
+
+def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cls, tie) of the ``classes`` (cls, sig), and the classes (a) of dense regions that are to be joined exactly."""
+    labelled = lambda x: x.select("cls", "sig", F.xxhash64("tie").alias("label"))
+    known = classes.select("cls", "sig", F.col("cls").alias("tie"))
+    leading = scratch_table(neighbours(_entries(labelled(known), 0, LEADING), 1, SIG), "near_ties").where("b IS NOT NULL")
+    tied = components(leading).select(F.col("node").alias("cls"), F.col("label").alias("tie"))
+    known = scratch_table(known.drop("tie").join(tied, "cls", "left").withColumn("tie", F.coalesce("tie", "cls")), "near_tied")
+    found = scratch_table(neighbours(_entries(labelled(known), LEADING, TREES)), "near_neighbours")
+    known = _merged(known, found.where("b IS NOT NULL"))
+    dense = found.where("b IS NULL").select("a")
     if not dense.isEmpty():
-        again = labelled.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi")
-        more = scratch_table(neighbours(_entries(again, TREES, TREES + MORE), deep=DEEP), "near_further")
-        edges, dense = edges.unionByName(more.where("b IS NOT NULL")), more.where("b IS NULL").select("a")
-    return known.select("cls", "tie"), edges, dense
+        again = labelled(known).join(dense.select(F.col("a").alias("cls")), "cls", "left_semi")
+        found = scratch_table(neighbours(_entries(again, TREES, TREES + MORE), deep=DEEP), "near_further")
+        known = _merged(known, found.where("b IS NOT NULL"))
+        dense = found.where("b IS NULL").select("a")
+    return known.select("cls", "tie"), dense
 
 
 def gathered(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """cls, cluster and m, the cluster's size, of the ``classes`` (cls, key, sig) that have to be compared with others."""
-    known, edges, dense = forest(classes)
+    known, dense = forest(classes)
     if not dense.isEmpty():
-        edges = edges.unionByName(scratch_table(_dense_edges(dense, classes, texts, width, percent), "near_dense_edges"))
-    at = lambda c: known.select(F.col("cls").alias(c), F.col("tie").alias(f"t{c}"))
-    between = edges.join(at("a"), "a").join(at("b"), "b").where("ta <> tb").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
-    tops = components(between).select(F.col("node").alias("tie"), F.col("label").alias("top"))
-    clusters = known.join(tops, "tie", "left").select("cls", F.coalesce("top", "tie").alias("cluster"))
-    clusters = scratch_table(clusters, "near_clusters")
+        known = _merged(known, _dense_edges(dense, classes.join(known, "cls"), texts, width, percent))
+    clusters = known.select("cls", F.col("tie").alias("cluster"))
     many = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     return scratch_table(clusters.join(many, "cluster"), "near_gathered")
 
