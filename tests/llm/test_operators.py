@@ -227,7 +227,6 @@ def test_forest_finds_pairs_in_dense_families(spark):
     tie = {number(r["cls"]): number(r["tie"]) for r in known.collect()}
     left = {number(r["a"]) for r in dense.collect()}
     assert all(tie[i] == tie[i + 1] or {i, i + 1} <= left for i in range(0, 1000, 2))
-    assert len(set(tie.values())) > 15000
 
 
 @pytest.mark.parametrize("shared,per_family", [(0, 2), (40, 1500), (60, 1500)])

@@ -38,7 +38,7 @@ kept or dropped alike; an empty table gives an empty result; other columns are l
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, once_a_key, packed, pick, row_key, scratch_table, text_batches, unpacked, without_keys
@@ -59,6 +59,8 @@ CARRY = 512             # and those it keeps from the block before
 CHUNK = 256
 PIVOTS = 8
 ASKS = 128              # asking texts in a block
+COUNTED = 256           # classes of a cluster on which shingles are counted, to order them
+COMMON = 512            # shingles known to be common in a cluster
 CELL_BITS = 20
 KNOWN_WORDS = 1 << 16
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
@@ -315,23 +317,53 @@ def _sets(named: DataFrame, width: int) -> DataFrame:
             .mapInArrow(run, "cls binary, cluster binary, label binary, chunk int, asks boolean, n bigint, h array<bigint>"))
 
 
+def _frequent(sets: DataFrame) -> DataFrame:
+    """cluster, frequent: the commonest shingles of each cluster, rarest first, counted on about ``COUNTED`` of its classes."""
+    sizes = scratch_table(sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / COUNTED).alias("lots")), "near_lots")
+    some = sets.select("cls", "cluster", "h").join(sizes, "cluster").where(F.pmod(F.xxhash64("cls"), F.col("lots")) == 0)
+    counts = some.select("cluster", F.explode("h").alias("h")).groupBy("cluster", "h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("f"), "h"))).where(F.col("r") <= COMMON)
+    lists = top.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct(F.col("r"), "h")), False).alias("x"))
+    return scratch_table(lists.select("cluster", F.col("x.h").alias("frequent")), "near_frequent")
+
+
+def _heads(sets: DataFrame, percent: int) -> DataFrame:
+    """The shingles of each set that may be the first one it shares with a near set, with their places."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows, at, h, least = [], [], [], []
+            for k, (own, common) in enumerate(zip(batch.column("h").to_pylist(), batch.column("frequent").to_pylist())):
+                own, n = np.asarray(own, np.int64), len(own)
+                rank = np.full(n, -1)
+                if common:
+                    common = np.asarray(common, np.int64)
+                    order = np.argsort(common)
+                    place = np.minimum(np.searchsorted(common[order], own), len(common) - 1)
+                    rank = np.where(common[order][place] == own, order[place], -1)
+                head = n - (percent * n + 99) // 100 + 1
+                own = own[np.lexsort((own, rank))][:head]
+                rows.append(np.full(len(own), k))
+                at.append(np.arange(len(own)))
+                h.append(own)
+                least.append(np.full(len(own), n - (2 * percent * n + 99 + percent) // (100 + percent) + 1))
+            if rows:
+                rows = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(rows) for c in ("cls", "cluster", "label", "asks", "n")],
+                     *[pa.array(np.concatenate(x).astype(np.int64)) for x in (least, at, h)]], ["cls", "cluster", "label", "asks", "n", "least", "i", "h"])
+    wide = sets.join(_frequent(sets), "cluster", "left").select("cls", "cluster", "label", "asks", "n", "h", "frequent")
+    return scratch_table(wide.mapInArrow(run, "cls binary, cluster binary, label binary, asks boolean, n bigint, least bigint, i bigint, h bigint"), "near_heads")
+
+
 def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     """cluster, q, o: asking classes and classes of other components that may be near them; no near pair is left out.
 
-    Shingles stand in order of their frequency in the cluster.  Of two sets that are near enough, the smaller
+    In each cluster the shingles stand in one order, the commonest last.  Of two sets that are near enough, the smaller
     has one of its first n - 2tn/(1+t) + 1 shingles among the larger one's first n - tn + 1, and the
-    places of the first one they share leave room for the overlap needed.
+    places of the first one they share leave room for the overlap needed.  Any order is exact; a good one gives few pairs.
     """
-    words = sets.select("cls", "cluster", "n", F.explode("h").alias("h"))
-    common = scratch_table(words.groupBy("cluster", "h").agg(F.count(F.lit(1)).alias("f")), "near_common")
-    p = F.lit(percent)
-    long_prefix = F.col("n") - F.floor((p * F.col("n") + 99) / 100) + 1
-    short_prefix = F.col("n") - F.floor((2 * p * F.col("n") + 99 + p) / (100 + p)) + 1
-    ranked = (words.join(common, ["cluster", "h"]).groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("all")))
-    heads = (sets.drop("h").join(ranked, "cls")
-             .select("cls", "cluster", "label", "asks", "n", short_prefix.alias("least"),
-                     F.posexplode(F.slice("all", F.lit(1), long_prefix.cast("int"))).alias("i", "x")))
-    heads = scratch_table(heads.select("cls", "cluster", "label", "asks", "n", "least", "i", F.col("x.h").alias("h")), "near_heads")
+    p, heads = F.lit(percent), _heads(sets, percent)
     side = lambda t: heads.select("cluster", "h", *[F.col(c).alias(f"{t}_{c}") for c in ("cls", "label", "asks", "n", "least", "i")])
     room = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
     pairs = (side("x").where("x_i < x_least").join(side("y"), ["cluster", "h"])
