@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import os
 import uuid
 
@@ -15,7 +17,28 @@ from ..session import ensure_checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_SCRATCH: dict[str, SparkSession] = {}
+#: Scratch folders of this process: path -> (session, owner).
+_SCRATCH: dict[str, tuple[SparkSession, str]] = {}
+_OWNER: contextvars.ContextVar[str] = contextvars.ContextVar("scratch_owner", default="")
+
+
+@contextlib.contextmanager
+def owned(owner: str):
+    """Scratch folders made inside belong to ``owner``, and ``drop_scratch(owner)`` deletes them alone."""
+    token = _OWNER.set(owner)
+    try:
+        yield
+    finally:
+        _OWNER.reset(token)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder, which ``drop_scratch`` or the driver's exit deletes."""
+    path = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "tables", f"{name}-{uuid.uuid4().hex}")
+    if not _SCRATCH:
+        atexit.register(drop_scratch)
+    _SCRATCH[path] = (spark, _OWNER.get())
+    return path
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -94,13 +117,9 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     ``checkpoint()`` the reread table has no inherited partitioning, so a join
     on a hot key gets exchanges on both sides, which adaptive execution splits.
     """
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    if not _SCRATCH:
-        atexit.register(drop_scratch)
-    _SCRATCH[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def without_keys(rows: DataFrame, keys: DataFrame, cell_bits: int = 20) -> DataFrame:
@@ -129,13 +148,15 @@ def once_a_key(rows: DataFrame, keys: DataFrame, cell_bits: int = 20) -> DataFra
     return marked.where("hit IS NULL").drop("hit").unionByName(marked.where("hit").drop("hit").dropDuplicates(["key"]))
 
 
-def drop_scratch(spark: SparkSession | None = None) -> None:
-    """Delete the scratch tables of this process, once the results that read them are written."""
-    for path in list(_SCRATCH):
-        owner = _SCRATCH.pop(path)
+def drop_scratch(owner: str | None = None, path: str | None = None) -> None:
+    """Delete the scratch folders of ``owner`` (or ``path`` alone, or all of this process) once the results that read them are written."""
+    for at, (spark, whose) in list(_SCRATCH.items()):
+        if (owner is not None and whose != owner) or (path is not None and at != path):
+            continue
+        del _SCRATCH[at]
         try:
-            jvm = owner.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(owner.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(at)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         except Exception:  # noqa: BLE001  the session has ended; nothing is left to ask
             pass
