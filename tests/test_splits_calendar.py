@@ -129,3 +129,30 @@ def test_time_order_over_gaps_in_the_ids(spark, bits):
     assert not ordered([(0, 5), (1, 6), (500_000, 2), (500_001, 3)])
     assert not ordered([(-(1 << 62), 5), (1 << 62, 2)])
     assert ordered([(-(1 << 62), 0), (0, 1), (1, 1), (500_000, 2), (1 << 62, 3)])
+
+
+def test_selection_lists_small_intervals_only(spark):
+    """The same value, rank and ties whether the last interval is listed or refined to the end."""
+    df = spark.range(20_000).select((F.col("id") * 7919 % 3001).alias("v"), F.when(F.col("id") % 3 == 0, F.col("id") / 7).alias("w"))
+    vs = sorted(i * 7919 % 3001 for i in range(20_000))
+    ws = sorted(i / 7 for i in range(0, 20_000, 3))
+    for k in (1, 77, 6000, 6667):
+        want = {"v": (vs[k - 1], k - vs.index(vs[k - 1]), vs.count(vs[k - 1])), "w": (ws[k - 1], 1, 1)}
+        for listed in (0, 50, 4096):
+            assert splits.select_ranks(df, {"v": (F.col("v"), k), "w": (F.col("w"), k)}, fan=16, listed=listed) == want
+    assert splits.select_ranks(df, {"v": (F.col("v"), 20_001)}) == {"v": None}
+    assert splits.select_ranks(df, {"v": (F.col("v"), 5)}, sizes={"v": 3}) == splits.select_ranks(df, {"v": (F.col("v"), 5)})
+
+
+def test_temporal_split_takes_few_passes(spark):
+    """A written copy of the two columns, its count, two passes and a listing for the time, and one listing for the ids."""
+    df = spark.range(30_000).select(F.col("id").alias("record_id"), F.timestamp_seconds(F.col("id") % 9000 * 600).alias("datetime"))
+    tracker, group = spark.sparkContext.statusTracker(), "temporal-split"
+    spark.sparkContext.setJobGroup(group, "passes")
+    try:
+        out = splits.split_temporal(df)
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 14, jobs         # a pass with a shuffle counts as two
+    assert out.where("split = 'train'").count() == 24_000

@@ -3,10 +3,10 @@
 No global window over the rows:
 
 * selection (the k-th row in (time, id) order, medians) refines histograms:
-  a round counts the rows below, at and between a few bounds and goes on
-  inside the open interval that holds the rank, until the rank falls on a
-  bound itself.  All columns and ranks share the passes of a round, and the
-  plan is the same at every size;
+  a round counts the rows below, at and between a few hundred bounds and goes
+  on inside the open interval that holds the rank, until the rank falls on a
+  bound itself or the interval's rows are few enough to be listed.  All columns
+  and ranks share the passes of a round;
 * stratified splits and folds rank rows inside (label, hash bucket)
   partitions; hash buckets are uniform, so a class holding most rows is
   spread over many tasks, and bucket offsets come from a table of counts.
@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 HASH_BITS = 48          # fixed value: leading bits of the digest that orders ids
 BUCKET_BITS = 16        # of which the first ones name the hash bucket
-FAN = 64                # bounds per round of a selection
+FAN = 256               # bounds per round of a selection
+LISTED = 4096           # rows that an interval may hold when its values are listed on the driver
 EXACT_DOUBLE = 1 << 53  # whole numbers up to this size are exact as doubles
 
 
@@ -32,16 +33,18 @@ def mix_hash(id_col: str, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
-def select_ranks(df: DataFrame, targets: dict[str, tuple[Column, int]], fan: int = FAN) -> dict:
-    """For each name the value at a rank (1-based, nulls left out) and the rank among its equals.
+def select_ranks(df: DataFrame, targets: dict[str, tuple[Column, int]], fan: int = FAN, listed: int = LISTED, sizes: dict | None = None) -> dict:
+    """For each name the value at a rank (1-based, nulls left out), the rank among its equals and their number.
 
     ``targets`` maps a name to (column expression, rank).  A rank outside the
     column gives None.  Each round makes two passes for all targets together:
     bounds (approximate quantiles; even steps for whole numbers that doubles
     can't tell apart), then an exact count of the rows in, and between, them.
+    Intervals of at most ``listed`` rows end with one pass that lists their values;
+    ``sizes`` tells how many rows a target starts with, where that is known.
     """
     kinds = {n: df.select(c.alias("v")).schema["v"].dataType for n, (c, _) in targets.items()}
-    state = {n: {"rank": k, "lo": None, "hi": None} for n, (_, k) in targets.items() if k >= 1}
+    state = {n: {"rank": k, "lo": None, "hi": None, "rows": (sizes or {}).get(n)} for n, (_, k) in targets.items() if k >= 1}
     found: dict = {n: None for n in targets}
     quantiles = [j / fan for j in range(1, fan)]
 
@@ -55,7 +58,23 @@ def select_ranks(df: DataFrame, targets: dict[str, tuple[Column, int]], fan: int
         return F.when(cond, v)
 
     while state:
+        for kind in {kinds[n] for n, st in state.items() if st["rows"] is not None and st["rows"] <= listed}:
+            few = [n for n, st in state.items() if kinds[n] == kind and st["rows"] is not None and st["rows"] <= listed]
+            cells = F.array(*[F.struct(F.lit(i).alias("i"), inside(n).alias("v")) for i, n in enumerate(few)])
+            values: dict = {}
+            for r in (df.select(F.explode(cells).alias("c")).where("c.v IS NOT NULL")
+                      .groupBy("c.i", "c.v").count().collect()):            # targets * listed rows at most
+                values.setdefault(r["i"], []).append((r["v"], r["count"]))
+            for i, n in enumerate(few):
+                rank = state.pop(n)["rank"]
+                for v, c in sorted(values.get(i, []), key=lambda x: (x[0] != x[0], x[0])):     # not-a-number last
+                    if rank <= c:
+                        found[n] = (v, rank, c)
+                        break
+                    rank -= c
         names = list(state)
+        if not names:
+            break
         aggs = []
         for n in names:
             aggs.append(F.struct(F.min(inside(n)).alias("lo"), F.max(inside(n)).alias("hi"),
@@ -85,10 +104,10 @@ def select_ranks(df: DataFrame, targets: dict[str, tuple[Column, int]], fan: int
             for b, c in sorted(counts[n]):
                 if rank <= c:
                     if b % 2:                    # on a bound
-                        found[n] = (edge[b // 2], rank)
+                        found[n] = (edge[b // 2], rank, c)
                         del state[n]
                     else:
-                        state[n] = {"rank": rank, "lo": edge[b // 2 - 1], "hi": edge[b // 2]}
+                        state[n] = {"rank": rank, "lo": edge[b // 2 - 1], "hi": edge[b // 2], "rows": c}
                     break
                 rank -= c
             else:
@@ -107,21 +126,22 @@ def kth_key(df: DataFrame, k: int, key_col: str, id_col: str, fan: int = FAN) ->
     at = select_ranks(df, {"key": (F.col(key_col), k)}, fan)["key"]
     if at is None:
         return None
-    key, rank = at
+    key, rank, c = at
     ties = df.where(F.col(key_col) == F.lit(key))
-    return key, select_ranks(ties, {"id": (F.col(id_col), rank)}, fan)["id"][0]
+    return key, select_ranks(ties, {"id": (F.col(id_col), rank)}, fan, sizes={"id": c})["id"][0]
 
 
 def split_temporal(df: DataFrame, test_size: float = 0.2, time_col: str = "datetime",
                    id_col: str = "record_id", out: str = "split") -> DataFrame:
     """Row 62: the oldest ``int(n * (1 - test_size))`` rows are ``train``, the rest ``test``.
 
-    Ties in time are broken by ``id_col`` so the split is stable.
+    Ties in time are broken by ``id_col`` so the split is stable.  The passes of the selection
+    read a written copy of the two columns alone.
     """
-    n = df.count()
-    k = int(n * (1 - test_size))
+    from ..session import materialize
     us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    keyed = df.withColumn("_us", us)
+    keyed = materialize(df.select(us.alias("_us"), F.col(id_col)))
+    k = int(keyed.count() * (1 - test_size))
     cut = kth_key(keyed, k, "_us", id_col)
     if cut is None:
         return df.withColumn(out, F.lit("test"))
