@@ -59,6 +59,27 @@ def cluster_silhouette(spark, sf):
     return SP.silhouette(df).select(F.round("silhouette", 6).alias("silhouette"))
 
 
+_EUCLIDEAN = """
+WITH p AS (SELECT cluster_id AS c, latitude AS x, longitude AS y, count(*) AS m FROM {src}
+           WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT c, sum(m) AS n FROM p GROUP BY c),
+d AS (SELECT p.c, p.x, p.y, p.m, q.c AS k, sum(q.m * sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y))) AS t
+      FROM p CROSS JOIN p q GROUP BY 1, 2, 3, 4, 5),
+ab AS (SELECT d.c, x, y, m, max(CASE WHEN k = d.c THEN n END) AS n_own, max(CASE WHEN k = d.c AND n > 1 THEN t / (n - 1) END) AS a,
+              min(CASE WHEN k <> d.c THEN t / n END) AS b FROM d JOIN s ON d.k = s.c GROUP BY 1, 2, 3, 4)
+SELECT round(sum(m * CASE WHEN n_own = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(m), 6) AS silhouette,
+       true AS within_a_thousandth FROM ab"""
+
+
+@register("cluster_silhouette_euclidean", _EUCLIDEAN.format(src=HUB_LABELS), ("hubs",))
+def cluster_silhouette_euclidean(spark, sf):
+    from ..operators.silhouette import euclidean
+    df = _hubs(spark, sf).select(
+        F.when(F.col("is_noise"), F.lit(-1)).otherwise(F.col("hub")).alias("cluster_id"),
+        "latitude", "longitude")
+    return euclidean(df).select(F.round("silhouette", 6).alias("silhouette"), (F.col("bound") < 0.001).alias("within_a_thousandth"))
+
+
 @register("cluster_dbscan", f"SELECT record_id, cluster_id FROM {DBSCAN_TRUTH}", ("hubs",))
 def cluster_dbscan(spark, sf):
     df = _hubs(spark, sf).select("record_id", "latitude", "longitude")
