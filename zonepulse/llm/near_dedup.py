@@ -10,7 +10,7 @@
 3. The first ``LEADING`` orders tie what is obviously near.  Their components are labels, and
    in the other orders a neighbour is the next class with another label: members of a large
    group are passed over, so a group of any size proposes no pairs of its own again.
-4. A class looks at ``WIDTH`` such neighbours on each side.  If all of them share ``FIRST``
+4. A class looks at ``WIDTH`` such neighbours on each side.  If all of them share ``CROWDED``
    bytes the region is dense and more may follow: such classes, and only they, go through
    ``MORE`` further orders.  Where the last neighbour shares ``DEEP`` bytes even there,
    the classes are joined exactly, by a prefix filter on rare shingles.
@@ -49,7 +49,8 @@ PERCENT = 80
 SIG = 64
 TREES = 32
 LEADING = 8             # orders whose components are labels for the others
-FIRST = 5               # bytes that candidates share
+FIRST = 4               # bytes that candidates share
+CROWDED = 5             # bytes shared with the last neighbour looked at, from which a region is dense
 MORE = 64               # further orders for dense regions
 DEEP = 9                # bytes from which classes of a dense region are joined exactly
 WIDTH = 2               # neighbours with another label on each side
@@ -182,7 +183,7 @@ def _onward(place: np.ndarray, tree: np.ndarray, label: np.ndarray, width: int,
     return pairs[:, 0], pairs[:, 1], i[depth >= deep]
 
 
-def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = FIRST) -> DataFrame:
+def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = CROWDED) -> DataFrame:
     """a, b: near neighbours (a < b) in the sorted orders; with b null: classes whose last neighbour shares ``deep`` bytes."""
     def run(batches):
         import pyarrow as pa
