@@ -185,3 +185,34 @@ def mixture(rows, weights=(1, 2, 3), cap=3):
             if r[2] == s:
                 out[i] = (size[i], total[s], target[s], full + (i in extra))
     return out
+
+
+def _hash(value, seed=42):
+    """Spark's xxhash64 of a string, or of a long."""
+    import struct
+    import xxhash
+    return xxhash.xxh64_intdigest(value.encode() if isinstance(value, str) else struct.pack("<q", value), seed)
+
+
+def sketch(text, width=5, keep_one_in=4):
+    words = [h - (1 << 64) if h >> 63 else h for h in map(_hash, re.findall(r"[^ \t-\r]+", text.lower()))]
+    if not words:
+        return []
+    hashes = set()
+    for i in range(max(len(words) - width, 0) + 1):
+        h = 42
+        for w in words[i:i + width]:
+            h = _hash(w, h)
+        hashes.add(h >> 1)
+    return sorted(h for h in hashes if h < (1 << 63) // keep_one_in) or [min(hashes)]
+
+
+def resemblance(a, b):
+    return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+
+def containment(a, b, keep_one_in=4):
+    kept = [x for x in a if x < (1 << 63) // keep_one_in]
+    if a == b:
+        return 1.0
+    return 0.0 if not a else len(set(kept) & set(b)) / len(kept) if kept else None

@@ -115,6 +115,56 @@ def test_pii_added_spans_in_running_text(spark):
     assert not any(got[i]["added"] for i in got if i >= 100)
 
 
+def test_pii_numbers_and_names_are_own_candidates(spark):
+    from zonepulse.llm.pii import find_pii
+    texts = ["SSN 123-45-6789 987-65-4322", "call 555-123-4567 555-987-6543", "Contact Maria Lopez", "Dear Mr. Kwame",
+             "mail Jean-Luc O'Brien", "name: José María Núñez", "page 123-45"]
+    want = [["123-45-6789", "987-65-4322"], ["555-123-4567", "555-987-6543"], ["Maria Lopez"], ["Kwame"],
+            ["Jean-Luc O'Brien"], ["José María Núñez"], []]
+    rows = [(k * 10 + i, t) for i, t in enumerate(texts) for k in range(20)]
+    for r in find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        t = texts[r["doc_id"] % 10]
+        assert [t[x["s"]:x["e"]] for x in r["added"]] == want[r["doc_id"] % 10], t
+
+
+def planted_private(n=600):
+    """Texts of plain words with private spans and lookalikes, and the private (start, end) of each."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abdeiorst") for _ in range(rng.randint(2, 9)))
+    num = lambda k: "".join(rng.choice("123456789") for _ in range(k))
+    name = lambda: rng.choice("Maria Peter Kwame Laura Zorbo Quintia".split()) + " " + word().capitalize()
+    private = [lambda: ("ssn ", f"{num(3)}-{num(2)}-{num(4)}"), lambda: ("phone: ", f"({num(3)}) {num(3)}-{num(4)}"),
+               lambda: ("contact ", name()), lambda: ("Dear Mrs. ", word().capitalize()), lambda: ("name: ", name()),
+               lambda: ("iban ", f"DE{num(2)} {num(4)} {num(4)} {num(4)} {num(4)} {num(2)}"),
+               lambda: ("reach ", f"{word()} [at] {word()} dot com")]
+    plain = [lambda: ("page ", f"{num(2)}-{num(3)}"), lambda: ("since ", f"19{num(2)}-1{rng.randint(0, 2)}-1{num(1)}"),
+             lambda: ("in ", "New " + word().capitalize()), lambda: ("total $", f"{num(2)}.{num(2)} {num(3)}"),
+             lambda: ("isbn ", f"{num(3)}-{num(1)}-{num(5)}"), lambda: ("the ", "General Public License")]
+    rows, want = [], {}
+    for d in range(n):
+        text, want[d] = word(), set()
+        for _ in range(rng.randint(1, 4)):
+            secret = rng.random() < 0.5
+            lead, m = rng.choice(private if secret else plain)()
+            text += f" {word()} {lead}"
+            if secret:
+                want[d].add((len(text), len(text) + len(m)))
+            text += f"{m} {word()}."
+        rows.append((d, text))
+    return rows, want
+
+
+def test_pii_precision_and_recall_on_planted_spans(spark):
+    from zonepulse.llm.pii import KINDS, find_pii
+    rows, want = planted_private()
+    got = {r["doc_id"]: {(x["s"], x["e"]) for k in (*KINDS, "added") for x in r[k]}
+           for r in find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    hit = sum(len(got[d] & want[d]) for d in want)
+    precision, recall = hit / sum(map(len, got.values())), hit / sum(map(len, want.values()))
+    print(f"planted private spans: precision {precision:.3f}, recall {recall:.3f}")
+    assert precision > 0.9 and recall > 0.9
+
+
 @data
 def test_pii_docs(docs):
     from zonepulse.llm.pii import KINDS, find_pii
@@ -163,6 +213,49 @@ def test_secrets_beside_harmless_stretches(spark):
     assert found == {i: [("entropy_base64", 0, len(texts[i]))] if i < 3 else [] for i in range(5)}
 
 
+def test_secrets_of_letters_alone_and_one_span_a_token(spark):
+    from zonepulse.llm.secrets import scan_secrets
+    texts = ["qWzRtYpLkJhGfDsAxCvBnMqPwOeIrUtY", "id 9F3A7C1E5B2D8064AF13 end", "getInternationalCustomerAddressByIdentifier",
+             "NON_NEGATIVE_INTEGER_BOUNDARY_VALUE", "key 9f3a7c1e5b2d8064af13/zQ7LmX0pRtB4 end", "/usr/lib/python/packages/example_module"]
+    got = {r["doc_id"]: [(x["kind"], x["s"], x["e"]) for x in r["entropy"]] for r in
+           scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == {0: [("entropy_base64", 0, 32)], 1: [("entropy_hex", 3, 23)], 2: [], 3: [],
+                   4: [("entropy_base64", 4, 37)], 5: []}
+
+
+def planted_keys(n=600):
+    """Texts with random tokens of three alphabets, identifiers, paths and numbers, and the tokens' (start, end)."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bdlmnrst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+    token = lambda abc, k: "".join(rng.choice(abc) for _ in range(k))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    rows, want = [], {}
+    for d in range(n):
+        text, want[d] = word(), set()
+        for _ in range(3):
+            if rng.random() < 0.4:
+                m = rng.choice([lambda: token(lower + "0123456789", 32), lambda: token(upper + lower + "0123456789", 40),
+                                lambda: token(upper + lower, 40), lambda: token("0123456789ABCDEF", 32)])()
+                want[d].add((len(text) + 1, len(text) + 1 + len(m)))
+            else:
+                m = rng.choice([lambda: "".join(word().capitalize() for _ in range(5)), lambda: "/".join(word() for _ in range(5)),
+                                lambda: "_".join(word().upper() for _ in range(5)), lambda: token("0123456789", 24)])()
+            text += f" {m} {word()}"
+        rows.append((d, text))
+    return rows, want
+
+
+def test_secrets_precision_and_recall_on_planted_tokens(spark):
+    from zonepulse.llm.secrets import scan_secrets
+    rows, want = planted_keys()
+    got = {r["doc_id"]: {(x["s"], x["e"]) for x in r["entropy"]}
+           for r in scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    hit = sum(len(got[d] & want[d]) for d in want)
+    precision, recall = hit / sum(map(len, got.values())), hit / sum(map(len, want.values()))
+    print(f"planted tokens: precision {precision:.3f}, recall {recall:.3f}")
+    assert precision > 0.95 and recall > 0.9
+
+
 def test_sliding_entropy(spark):
     from pyspark.sql import functions as F
     from zonepulse.llm.secrets import ALPHABET, max_entropy
@@ -334,7 +427,8 @@ def check_fingerprints(rows, df):
     want = sorted(((d, len(t or ""), e) for (d, e, _), (_, t) in zip(B.edited_texts(rows), sorted(
         rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")))), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
     assert [(r["doc_id"], r["n_chars"], r["edited"]) for r in got] == want
-    assert all(0 <= r[c] <= 1 for r in got for c in ("near_edited", "near_next", "kept_in_edited"))
+    assert all(0 <= r[c] <= 1 for r in got for c in ("near_edited", "near_next"))
+    assert all(r["kept_in_edited"] == B.containment(r["sk"], r["edited_sk"]) for r in got)
 
 
 def test_fingerprint_messy(messy):
@@ -346,6 +440,31 @@ def test_fingerprint_docs(docs):
     check_fingerprints(pairs(docs), docs)
 
 
+def test_sketches_against_plain_python(spark):
+    """Sketches, near_edited, near_next and containment of random texts, short ones among them."""
+    from zonepulse.llm.fingerprint import fingerprint_pairs
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("ab cd ef gh Ij kl".split()) for _ in range(rng.choice([0, 1, 3, 5, 6, 9, 40, 300]))) or None)
+            for i in range(120)]
+    edited = {d: (e, n) for d, e, n in B.edited_texts(rows)}
+    for r in fingerprint_pairs(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect():
+        own, (e, n) = rows[r["doc_id"]][1] or "", edited[r["doc_id"]]
+        assert r["edited"] == e and r["sk"] == B.sketch(own) and r["edited_sk"] == B.sketch(e) and r["next_sk"] == B.sketch(n)
+        assert abs(r["near_edited"] - B.resemblance(B.sketch(own), B.sketch(e))) < 1e-12
+        assert abs(r["near_next"] - B.resemblance(B.sketch(own), B.sketch(n))) < 1e-12
+        assert r["kept_in_edited"] == B.containment(B.sketch(own), B.sketch(e))
+
+
+def test_short_texts_in_long_ones(spark):
+    """A text at the start of a longer one is contained in it, or has no hash to tell by; never is it denied."""
+    from pyspark.sql import functions as F
+    from zonepulse.llm.fingerprint import containment, sketch
+    rows = [(" ".join(f"w{i}x{k}" for k in range(n)), " ".join(f"w{i}x{k}" for k in range(400))) for n in (5, 30) for i in range(400)]
+    got = [r["c"] for r in spark.createDataFrame(rows, "a string, b string").select(
+        containment(sketch(F.col("a")), sketch(F.col("b"))).alias("c")).collect()]
+    assert set(got) == {1.0, None} and 60 < got[:400].count(1.0) < 140 and got[400:].count(None) < 4
+
+
 def test_sketches_estimate_and_merge(spark):
     from pyspark.sql import functions as F
     from zonepulse.llm.fingerprint import containment, merge, resemblance, sketch

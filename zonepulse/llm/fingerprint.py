@@ -1,9 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
 The sketch of a text holds every shingle hash below a fixed fraction of the hash
-range, or the smallest hash if none is below.  Texts of any length are cut by
-the same threshold, so sketches can be merged (``merge``) and compared by
-resemblance or, between very unequal texts, by containment.
+range.  Texts of any length are cut by the same threshold, so sketches can be
+merged (``merge``) and compared by resemblance or, between very unequal texts, by
+containment.  Where no hash is below (short texts alone), the sketch holds the
+smallest as a witness.  A witness is above the threshold and so equals no kept hash:
+it tells two such texts apart, and containment never counts it.
 
 ``fingerprint_pairs`` compares each text with an edited text and with the next
 document.  Documents are dealt into ranges of ids, cut at quantiles; the first
@@ -13,7 +15,10 @@ next document is always in the same range and texts move once.
 Edge cases: null text is empty, has an empty sketch and edits to itself; two
 empty sketches are alike (1), an empty and another one are not (0); null ids
 come before all ids; rows that share an id are ordered by text; a single
-document is its own next one; an empty table gives an empty result.
+document is its own next one; the containment of a text with a witness alone is
+unknown (null) unless both sketches are equal (1); very long texts are sketched
+whole; only doc_id and text are read, so other columns can't clash; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,15 +60,16 @@ def merge(a: Column, b: Column, keep_one_in: int = KEEP_ONE_IN) -> Column:
 
 
 def resemblance(a: Column, b: Column) -> Column:
-    """Share of common hashes among all of both."""
+    """Share of common hashes among all of both; of two witnesses: whether they are equal."""
     return let(F.size(F.array_intersect(a, b)), lambda both: F.when(
         (F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both)))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Share of the hashes of ``a`` that ``b`` has too."""
-    return F.when(F.size(a) == 0, F.when(F.size(b) == 0, 1.0).otherwise(0.0)
-                  ).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, keep_one_in: int = KEEP_ONE_IN) -> Column:
+    """Share of the hashes of ``a`` that ``b`` has too; null where ``a`` has none below the threshold."""
+    limit = (1 << 63) // keep_one_in
+    return let(F.filter(a, lambda x: x < limit), lambda k: F.when(a == b, 1.0).when(F.size(a) == 0, 0.0)
+               .when(F.size(k) > 0, F.size(F.array_intersect(k, b)) / F.size(k)))
 
 
 def as_text(a: Column) -> Column:

@@ -13,7 +13,9 @@ even odds and overlap no pattern span are added.
 Texts are read once; candidates are few and are scored in a narrow table.
 
 Edge cases: null text is empty; rows that repeat id and text share their spans;
-null ids are kept; without candidates nothing is added; empty tables work.
+null ids are kept; without candidates nothing is added; very long texts are
+searched whole; only doc_id and text are read, so other columns can't clash; empty
+tables work.
 """
 
 from __future__ import annotations
@@ -35,20 +37,39 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 IP_VALID = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
+#: Shapes of private numbers, each a candidate of its own: cards, social security, telephone, id numbers.
+SHAPES = (r"(?:[0-9]{4}[\x20-]?){3}[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|"
+          r"\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3,5}[\x20/-][0-9]{6,8}")
+#: Words that stand before a name and are no part of it.
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau".split()
+LEADS = TITLES + ("Sir Madam Contact Dear Call Phone Tel Mobile Fax Email Mail Name Address From To Cc Attn Hi Hello Hallo "
+                  "Regards Sincerely Thanks Signed").split()
+_NO_LEAD = rf"(?!(?:{'|'.join(LEADS)})(?!\p{{L}}))"
+_CAPITAL = r"(?:\p{Lu}\p{Ll}{1,20}+|\p{Lu}['’](?=\p{Lu}))(?:['’-]?\p{Lu}\p{Ll}{1,20}+)*+"
+
 #: What may be personal beyond the fixed patterns.
 CANDIDATES = (
-    ("number", r"(?<![0-9A-Za-z.,+])[0-9(][0-9\x20().-]{4,30}[0-9](?![0-9A-Za-z])"),
+    ("number", rf"(?<![0-9A-Za-z.,+])(?:(?:{SHAPES})(?![0-9A-Za-z]|[.-][0-9])|[0-9(][0-9\x20().-]{{4,30}}[0-9](?![0-9A-Za-z]))"),
     ("account", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){3,7}+(?:\x20?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("address", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,40}+\x20?(?:"
                 r"(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{2,40}+(?:\x20?(?:\.|\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,10})+|"
                 r"at\x20[A-Za-z0-9-]{2,40}+\x20dot\x20[A-Za-z]{2,10})"),
-    ("name", r"(?<![A-Za-z])[A-Z][a-z]{1,20}+\x20(?:[A-Z]\.\x20)?[A-Z][a-z]{1,20}+(?![A-Za-z])"),
+    # two or more capitalised words, or one behind a title
+    ("name", rf"(?<![\p{{L}}'’-]){_NO_LEAD}{_CAPITAL}(?:\x20(?:\p{{Lu}}\.\x20)?{_NO_LEAD}{_CAPITAL})++(?!\p{{L}})|"
+             rf"(?<=(?<!\p{{L}})(?:{'|'.join(TITLES)})\.?\x20){_NO_LEAD}{_CAPITAL}(?!\p{{L}})"),
 )
 CONTEXT = 32
 #: Gazetteers of given names and of capitalised words that name no person.
-GIVEN = ("James John Robert Michael William David Mary Patricia Jennifer Linda Elizabeth Barbara Susan Sarah Thomas "
-         "Charles Daniel Matthew Anna Peter Paul Maria Hans Klaus Jean Pierre Marie Sophie Carlos Juan Jose Carmen "
-         "Lucia Ana Emma Laura Julia Martin Stefan Andreas Alice Bob").split()
+GIVEN = ("Aaron Adam Ahmed Aisha Alan Albert Alexander Ali Alice Amanda Amy Ana Andrea Andreas Andrew Angela Ann Anna Anne Antonio "
+         "Arthur Barbara Benjamin Bernd Birgit Bob Brian Carlos Carmen Carol Catherine Charles Charlotte Chen Christian Christine Claire "
+         "Claudia Daniel David Deborah Diana Diego Donald Dorothy Edward Elena Elizabeth Emily Emma Eric Eva Fatima Francesca Francisco "
+         "Frank Gary George Giulia Gonzalo Grace Hannah Hans Hassan Heike Helen Henry Hugo Ian Ibrahim Ines Ingrid Isabel Ivan Jack "
+         "Jacob James Jan Jane Javier Jean Jennifer Jessica Joan John Jonas Jorge Jose Joseph Joshua Juan Julia Julie Karen Karl "
+         "Katharina Kenneth Kevin Klaus Kwame Lars Laura Lena Leon Linda Lisa Louis Lucia Luis Lukas Manuel Marco Margaret Maria Marie "
+         "Mario Mark Martha Martin Mary Matthew Michael Michel Miguel Miriam Mohammed Monika Nancy Natalia Nicolas Nicole Nina Olga Oliver "
+         "Oscar Pablo Patricia Patrick Paul Pedro Peter Philip Philippe Pierre Priya Rachel Ralf Raj Ramon Rebecca Ricardo Richard Robert "
+         "Rosa Ruth Ryan Sabine Samuel Sandra Sara Sarah Sergio Simon Sofia Sophie Stefan Stephen Steven Susan Susanne Teresa Thomas Timothy "
+         "Tomas Ursula Victor Victoria Walter Wei William Wolfgang Yuki").split()
 PLACES = ("January February March April May June July August September October November December Monday Tuesday "
           "Wednesday Thursday Friday Saturday Sunday North South East West New Old United States Public License "
           "Foundation Apache Creative Commons General University The This That").split()
@@ -57,8 +78,7 @@ BEFORE_PRIVATE = (r"(?i)(?:^|[^a-z])(?:phone|tel|telefon|mobile|fax|call|e-?mail
                   r"card|credit|passport|name|mr|mrs|ms|dr|herr|frau|born|address)[^0-9a-z]{1,4}$")
 BEFORE_HARMLESS = (r"(?i)(?:(?:^|[^a-z])(?:page|pages|figure|fig|table|version|section|chapter|isbn|issn|no|vol|year|since|"
                    r"total|price|usd|eur)[^0-9a-z]{0,3}|[$€£#=/])$")
-PRIVATE_SHAPES = (r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|(?:[0-9]{4}[\x20-]?){3}[0-9]{4}|"
-                  r"[0-9]{3,5}[\x20/-][0-9]{6,8})$")
+PRIVATE_SHAPES = rf"^(?:{SHAPES})$"
 HARMLESS_SHAPES = r"^(?:(?:19|20)[0-9]{2}[.-][0-9]{1,2}[.-][0-9]{1,2}|[0-9]{1,2}[.-][0-9]{1,2}[.-](?:19|20)?[0-9]{2}|[0-9]{1,4}(?:[.\x20-][0-9]{1,4})?|(?:19|20)[0-9]{2}\x20?-\x20?(?:19|20)[0-9]{2})$"
 FEATURE_CELLS = 4096
 ROUNDS = 50
@@ -76,8 +96,8 @@ def _base(t: Column) -> list[Column]:
     ]
 
 
-def votes(kind: Column, m: Column, before: Column) -> list[Column]:
-    """One column of -1, 0 or 1 for each labeler."""
+def votes(kind: Column, m: Column, before: Column, given: list[str] = GIVEN) -> list[Column]:
+    """One column of -1, 0 or 1 for each labeler; ``given`` is the gazetteer of names."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     words = F.split(m, r"\x20")
     one, no = F.lit(1), F.lit(-1)
@@ -88,9 +108,10 @@ def votes(kind: Column, m: Column, before: Column) -> list[Column]:
     return [
         F.when(F.rlike(m, F.lit(PRIVATE_SHAPES)) & sound | kind.isin("account", "address"), one).otherwise(0),  # regex
         F.when(F.rlike(m, F.lit(HARMLESS_SHAPES)), no).otherwise(0),                                         # regex
-        F.when(kind == "number", F.when(F.length(digits).between(9, 19) & sound, one).otherwise(no)).otherwise(0),  # regex: digits
+        F.when(kind == "number", F.when(~(F.length(digits).between(9, 19) & sound), no)                      # regex: digits,
+               .when(F.rlike(before, F.lit(BEFORE_HARMLESS)), 0).otherwise(one)).otherwise(0),               # silent behind such a lead
         F.when((kind == "number") & ~sound, no).otherwise(0),                                                # checksum
-        F.when(kind == "name", F.when(known(GIVEN), one).otherwise(0)).otherwise(0),                         # gazetteer
+        F.when(kind == "name", F.when(known(given), one).otherwise(0)).otherwise(0),                         # gazetteer
         F.when(kind == "name", F.when(known(PLACES), no).otherwise(0)).otherwise(0),                         # gazetteer
         F.when(F.rlike(before, F.lit(BEFORE_PRIVATE)), one).otherwise(0),                                    # context
         F.when(F.rlike(before, F.lit(BEFORE_HARMLESS)), no)
@@ -129,10 +150,11 @@ def _features(kind: Column, m: Column, before: Column) -> Column:
     return F.array_distinct(F.array(
         cell("kind", kind), cell("shape", F.concat(kind, shape)), cell("mark", F.right(F.rtrim(before), F.lit(1))),
         cell("digits", F.length(F.regexp_replace(m, "[^0-9]", ""))), cell("word", last),
-        cell("votes", F.concat_ws(",", *[x.cast("string") for x in votes(kind, m, before)]))))
+        cell("first", F.when(kind == "name", F.get(F.split(m, r"\x20"), 0))),
+        cell("sum", F.call_function("luhn_check", F.regexp_replace(m, "[^0-9]", "")))))
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
+def find_pii(docs: DataFrame, given: list[str] = GIVEN) -> DataFrame:
     """doc_id, the span array of each fixed kind, and ``added``: array of (kind, s, e) by kind and start."""
     t = pick(docs, "doc_id", "text").withColumn("t", text_of())
     t = t.select("doc_id", row_key().alias("key"), "t", *[c.alias(k) for k, c in zip(KINDS, _base(F.col("t")))])
@@ -146,7 +168,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     spans = (rows.where(F.size("found") > 0).dropDuplicates(["key"])
              .select("key", F.concat(*KINDS).alias("base"), F.explode("found").alias("x"))
              .select("key", "x.*", overlaps(F.col("x"), F.col("base")).alias("known")))
-    v = votes(F.col("kind"), F.col("m"), F.col("before"))
+    v = votes(F.col("kind"), F.col("m"), F.col("before"), given)
     # a span that a fixed pattern has accepted is one more +1 of the regex labeler
     v[0] = F.when(F.col("known"), 1).otherwise(v[0])
     spans = scratch_table(spans.select("key", "kind", "s", "e", "known", F.array(*v).alias("votes"),

@@ -6,12 +6,17 @@ slides along a candidate with a count per symbol; entering and leaving
 characters change the counts and the sum of c * log2(c), so no window is counted
 anew.  A candidate is a secret if no allow-list rule fits it whole and a window
 outside its harmless stretches has at least its class's entropy.  Found spans
-that overlap a pattern's span are not repeated.
+that overlap a pattern's span are not repeated, and those that overlap each other
+(a token may fit several classes) are one span of the longest one's class.
+
+Letters and separators alone are harmless only if they read as words: no long run
+of consonants and no chain of one or two letters between capitals (``SCRAMBLED``).
 
 Everything is a column expression; no row is moved.
 
 Edge cases: null text is empty and has no spans; null ids and repeated rows are
-kept as they are; very long candidates take one step a character.
+kept as they are; very long candidates take one step a character; only doc_id and
+text are read, so other columns can't clash; empty tables work.
 """
 
 from __future__ import annotations
@@ -44,9 +49,11 @@ CLASSES = (
 ALLOWED = (
     r"^[A-Za-z_-]+$",                                     # words and identifiers
     r"^[A-Za-z]+[0-9]{0,4}$",                             # a word with a short number
-    r"^[0-9+_=-]+$",                                      # digits and rules
     r"^(?:[A-Za-z]+[0-9]{0,4}[/_-])+[A-Za-z]+[0-9]{0,4}$",  # paths and slugs
 )
+DIGITS = r"^[0-9+_=-]+$"                                  # digits and rules pass in any case
+#: Fixed value: what words and identifiers don't hold, so the allow list passes nothing that has it.
+SCRAMBLED = r"(?i:[bcdfghjklmnpqrstvwxz]{6,})|(?:[A-Z][a-z]{1,2}(?=[A-Z])){5,}|(?:[a-z][A-Z]{1,2}(?=[a-z])){5,}"
 #: Stretches that no window may touch; what is left of a candidate is measured.
 HARMLESS = r"(?i:example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|1234567890|abcdefgh)|(.)\1{7,}"
 
@@ -76,6 +83,27 @@ def max_entropy(s: Column, window: int = WINDOW) -> Column:
     return let(F.transform(F.array_remove(F.split(s, ""), ""), lambda ch: F.instr(F.lit(ALPHABET), ch)), slide)
 
 
+def allowed(m: Column) -> Column:
+    """Whether the allow list lets the candidate pass whole."""
+    digits = F.rlike(m, F.lit(DIGITS))
+    return digits | (reduce(or_, [F.rlike(m, F.lit(p)) for p in ALLOWED]) & ~F.rlike(m, F.lit(SCRAMBLED)))
+
+
+def one_a_token(spans: Column) -> Column:
+    """Overlapping (s, e, kind) as one, with the kind of the longest (of equal ones: the class listed first)."""
+    none = F.array().cast("array<struct<s:int,c:bigint,e:int,kind:string,n:int>>")
+    ranked = F.array_sort(F.transform(spans, lambda x: F.struct(
+        x["s"], F.array_position(F.array(*[F.lit(k) for k, _, _ in CLASSES]), x["kind"]).alias("c"), x["e"], x["kind"],
+        (x["e"] - x["s"]).alias("n"))))
+    def add(acc: Column, x: Column) -> Column:  # noqa: E306
+        last = F.element_at(acc, -1)
+        whole = F.struct(last["s"], last["c"], F.greatest(last["e"], x["e"]).alias("e"),
+                         F.when(x["n"] > last["n"], x["kind"]).otherwise(last["kind"]).alias("kind"), F.greatest(last["n"], x["n"]).alias("n"))
+        return F.when((F.size(acc) > 0) & (last["e"] > x["s"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(whole))
+                      ).otherwise(F.concat(acc, F.array(x)))
+    return F.transform(F.aggregate(ranked, none, add), lambda x: F.struct(x["s"], x["e"], x["kind"]))
+
+
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, the spans of each fixed kind, and ``entropy``: (kind, s, e) of further spans by start."""
     t = pick(docs, "doc_id", "text").withColumn("t", text_of())
@@ -87,7 +115,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     base = F.concat("assign", "access", "hex")
     for kind, chars, _ in CLASSES:
         runs = match_spans(F.col("t"), f"(?<![{chars}])[{chars}]{{{WINDOW},}}+")
-        t = t.withColumn(kind, F.filter(runs, lambda x: ~reduce(or_, [F.rlike(x["m"], F.lit(p)) for p in ALLOWED])))
+        t = t.withColumn(kind, F.filter(runs, lambda x: ~allowed(x["m"])))
     t = t.withColumn("base", base)
     def measured(x: Column) -> Column:
         return F.filter(F.split(x["m"], HARMLESS), lambda p: F.length(p) >= WINDOW)
@@ -96,7 +124,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         return F.transform(F.filter(own, lambda x: F.exists(measured(x), lambda p: max_entropy(p) >= bits)),
                            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
     found = [dense(kind, bits) for kind, _, bits in CLASSES]
-    return t.select("doc_id", *KINDS, F.array_sort(F.concat(*found)).alias("entropy"))
+    return t.select("doc_id", *KINDS, one_a_token(F.concat(*found)).alias("entropy"))
 
 
 def joined(kinds: tuple[str, ...]) -> Column:
