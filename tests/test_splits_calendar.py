@@ -118,6 +118,51 @@ def test_one_hot_of_any_number_of_levels(spark):
     assert by[5]["x"] == 600.0
 
 
+def test_levels_are_numbered_without_the_driver(spark):
+    """10^5 levels, one of them in a third of the rows: ranks in byte order, nothing listed on the driver."""
+    from zonepulse.operators import prep
+    n = 100_000
+    df = spark.range(n).withColumn("area", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("é"), F.lpad(F.col("id").cast("string"), 7, "0"))))
+    known = prep.level_slots(df.unionByName(df.withColumn("area", F.lit(None).cast("string"))), "area")
+    assert known.count() == known.select("level").distinct().count() == 1 + n - (n + 2) // 3
+    assert known.where("slot = 0").first()["level"] == "hot"
+    off = known.alias("a").join(known.alias("b"), F.expr("a.slot = b.slot + 1")).where("a.level <= b.level").count()
+    assert off == 0 and known.agg(F.max("slot")).first()[0] == known.count() - 1
+    out, slots = prep.one_hot_vector(df, ["area"])
+    v = {r["id"]: r["area_vec"] for r in out.where("id in (0, 1, 2, 99998)").collect()}
+    assert v[0].numNonzeros() == 0 and list(v[1].indices) == [0] and list(v[2].indices) == [1] and v[1].size == known.count() - 1
+    assert slots["area_vec"].where(F.col("slot") == 1).first()["feature"] == "area_é0000002"
+    with pytest.raises(ValueError):
+        prep.one_hot(df, ["area"])
+
+
+def test_feature_names_read_like_a_list(spark):
+    from zonepulse.operators import models, prep
+    df = spark.createDataFrame([(i, f"z{i % 4}", "uv"[i % 2], float(i), 2.0, i % 2) for i in range(40)],
+                               "record_id long, area string, side string, x double, y double, target int")
+    table, columns, names = prep.feature_table(df)
+    want = [n for c in columns for n in {"area_vec": ["area_z1", "area_z2", "area_z3"], "side_vec": ["side_v"]}.get(c, [c])]
+    assert list(names) == want and names == want and len(names) == 6 and names[-1] == want[-1] and names[1:3] == want[1:3]
+    assert "area_z3" in names and "area_z0" not in names and names != want[:-1]
+    with pytest.raises(IndexError):
+        names[6]
+    model = models.fit(models.assemble(table, columns), "logistic_regression")
+    got = [tuple(r) for r in models.feature_importance(model, names).collect()]
+    assert got == [tuple(r) for r in models.feature_importance(model, want).collect()] and got[0][0] == "side_v" and len(got) == 6
+
+
+def test_one_hot_of_columns_without_levels(spark):
+    from zonepulse.operators import prep
+    df = spark.createDataFrame([(1, None, "a", ""), (2, None, "a", "b"), (3, None, None, "b")], "id long, none string, one string, two string")
+    out, slots = prep.one_hot_vector(df, ["none", "one", "two"])
+    assert out.columns == ["id", "two_vec"] and list(slots) == ["two_vec"]
+    assert {r["id"]: list(r["two_vec"].indices) for r in out.collect()} == {1: [], 2: [0], 3: [0]}
+    out, slots = prep.one_hot_vector(df.limit(0), ["two"], fit_df=df)
+    assert out.count() == 0 and slots["two_vec"].count() == 1
+    out, _ = prep.one_hot_vector(df, ["two"], fit_df=df.where("id = 0"))
+    assert out.columns == ["id", "none", "one"] and out.count() == 3
+
+
 @pytest.mark.parametrize("bits", [2, 16])
 def test_time_order_over_gaps_in_the_ids(spark, bits):
     from zonepulse.operators import summaries as S

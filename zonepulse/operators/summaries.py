@@ -78,13 +78,13 @@ def year_quarter_counts(df: DataFrame, time_col: str = "datetime") -> DataFrame:
 def cluster_counts(df: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
     """Row 40: per cluster (ordered by id), with number of clusters, largest and smallest.
 
-    One pass over the rows; the window runs over the grouped table (a row per cluster).
+    One pass over the rows; the totals are one row, aggregated from the grouped table and put
+    beside each of its rows, since the number of clusters can grow with the data.
     """
-    per = df.groupBy(cluster_col).agg(_count().alias("n"))
-    w = Window.partitionBy()
-    return per.select(cluster_col, "n", F.count(F.lit(1)).over(w).alias("n_clusters"),
-                      F.max("n").over(w).alias("largest"), F.min("n").over(w).alias("smallest")
-                      ).orderBy(cluster_col)
+    from ..session import materialize
+    per = materialize(df.groupBy(cluster_col).agg(_count().alias("n")))     # read twice
+    total = per.agg(_count().alias("n_clusters"), F.max("n").alias("largest"), F.min("n").alias("smallest")).first()
+    return per.select(cluster_col, "n", *[F.lit(total[c]).cast("long").alias(c) for c in total.asDict()]).orderBy(cluster_col)
 
 
 def cluster_month_pivot(df: DataFrame, cluster_col: str = "cluster_id",
