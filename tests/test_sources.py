@@ -111,3 +111,39 @@ def test_renumbered_scan_is_sorted(spark, tmp_dir):
     assert [r["position"] for r in got] == list(range(300))
     keys = [(r["datetime"] is None, str(r["datetime"]), r["record_id"]) for r in got]
     assert keys == sorted(keys)
+
+
+NASTY = ["}{][,\\\"", 3, None, [1, {"a": "}"}], {}, "plain", {"t": "\\\\"}, {"u": "é}\u2028\"{[", "v": {"w": [{"x": {}}, []]}}, [], {"y": "\n"}, True]
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 27])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_files_are_read_in_splits(spark, tmp_dir, split, indent):
+    """Any cut of the file gives the elements that a whole parse gives, at the same positions."""
+    import random
+    rnd, docs = random.Random(split), []
+    for name in ("a.json", "b.json", "c.json"):
+        docs.append([rnd.choice(NASTY) for _ in range(rnd.choice([1, 40, 120]))] if name != "b.json" else [])
+        write(tmp_dir, name, json.dumps(docs[-1], indent=indent, ensure_ascii=False))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = R._array_elements(spark, os.path.join(tmp_dir, "*.json")).orderBy("record_id").collect()
+        if split == 64:
+            assert R._pieces(spark, os.path.join(tmp_dir, "*.json")).select("_file", "_block").distinct().count() > 10
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [e for d in docs for e in d]
+    assert [r["record_id"] for r in got] == list(range(len(want)))
+    for r, e in zip(got, want):
+        assert r["e"] == e if isinstance(e, str) else (r["e"] is None if e is None else json.loads(r["e"]) == e)
+
+
+@pytest.mark.parametrize("text", ["", "  ", "[1, 2", "[1,]", '[{"a": 1},]', '[{"a": 1} {"b": 2}]', '[{"a": 1}], {"b": 2}]', '{"a": [1]}', '[{"a": "}]', "null"])
+def test_files_that_are_no_arrays(spark, tmp_dir, text):
+    write(tmp_dir, "good.json", '[{"a": 1}]')
+    write(tmp_dir, "bad.json", text)
+    with pytest.raises(ValueError):
+        R._array_elements(spark, os.path.join(tmp_dir, "*.json"))

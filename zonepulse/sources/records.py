@@ -1,19 +1,21 @@
 """Incident record sources (inventory rows 1-3).
 
 Input formats: one JSON array per file (the reference's format), JSON lines,
-or Parquet.  A JSON array file cannot be split, so it is one task per file:
-parse it once and write Parquet for everything downstream.  JSON lines and
+or Parquet.  Array files are read in splits whose states are composed afterwards
+(:func:`scan_json_array` alone reads a file as one value, as Spark's own reader does); parse
+them once and write Parquet for everything downstream.  JSON lines and
 Parquet split and stream normally; their ``record_id`` must come from the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.calendar import parse_time
+from ..session import materialize
 
 # The raw record as the reference reads it.
 RECORD_SCHEMA = T.StructType([
@@ -49,23 +51,99 @@ def scan_json_array(spark: SparkSession, path: str, fmt: str = "json_array") ->
     return spark.read.schema(RECORD_SCHEMA).json(path, multiLine=(fmt == "json_array"))
 
 
+BLOCK = ["_file", "_block"]
+
+
+def _exclusive(*over: str):
+    return Window.partitionBy(*over).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _before(value, window) -> Column:
+    """The sum of ``value`` over the rows before this one."""
+    return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The array files cut after each ``}``, with what each piece does to the reader's state.
+
+    Files are read in splits.  A piece doesn't know whether it begins inside a string, so the depth
+    is added up for both cases: ``_turns`` is the parity of quotes before the piece in its block,
+    ``_deep0`` and ``_deep1`` the change of depth before it if the block begins outside or inside a
+    string.
+    """
+    raw = spark.read.option("lineSep", "}").text(path)
+    pieces = raw.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), "value")
+    plain = F.regexp_replace("value", r"(?s)\\.", "")                      # without escaped characters
+    bare = lambda text: F.regexp_replace(text, r'"[^"]*("|$)', "")          # noqa: E731  without strings
+    step = lambda out: F.length(F.translate(out, "]", "")) - F.length(F.translate(out, "{[", ""))
+    quotes = F.length(plain) - F.length(F.translate(plain, '"', ""))
+    odd = quotes % 2
+    here = pieces.withColumns({
+        "_odd": odd, "_d0": step(bare(plain)) - F.when(odd == 0, 1).otherwise(0),
+        "_d1": step(bare(F.regexp_replace(plain, r'^[^"]*("|$)', ""))) - F.when(odd == 1, 1).otherwise(0)})
+    w = _exclusive(*BLOCK).orderBy("_at")
+    turned = here.withColumn("_turns", _before("_odd", w) % 2)
+    if0 = F.when(F.col("_turns") == 0, F.col("_d0")).otherwise(F.col("_d1"))
+    if1 = F.when(F.col("_turns") == 0, F.col("_d1")).otherwise(F.col("_d0"))
+    stepped = turned.withColumns({"_s0": if0, "_s1": if1})
+    return materialize(stepped.withColumns({"_deep0": _before("_s0", w), "_deep1": _before("_s1", w)}).drop("_d0", "_d1"))
+
+
+def _element_runs(pieces: DataFrame) -> DataFrame:
+    """The pieces put together to runs (_file, _block, _run, _last, text), each up to the ``}`` that
+    closes an object of the array; ``_block`` is where the run begins.
+
+    Blocks hand on their state in a table of one row a block: first the parity of quotes, then the
+    depth that goes with it, then the number of closed objects.
+    """
+    blocks = pieces.groupBy(*BLOCK).agg(F.sum("_odd").alias("o"), F.sum("_s0").alias("s0"), F.sum("_s1").alias("s1"))
+    along = _exclusive("_file").orderBy("_block")
+    blocks = blocks.withColumn("_in", _before("o", along) % 2).withColumn(
+        "s", F.when(F.col("_in") == 0, F.col("s0")).otherwise(F.col("s1")))
+    start = blocks.select(*BLOCK, "_in", _before("s", along).alias("_from"))
+    ends = pieces.groupBy("_file").agg(F.max(F.struct("_block", "_at")).alias("_end"))
+    inside = (F.col("_in") + F.col("_turns") + F.col("_odd")) % 2           # after the piece
+    deep = F.col("_from") + F.when(F.col("_in") == 0, F.col("_deep0") + F.col("_s0")).otherwise(F.col("_deep1") + F.col("_s1"))
+    state = pieces.join(start, BLOCK).join(ends, "_file").select(
+        *BLOCK, "_at", "value", (F.struct("_block", "_at") == F.col("_end")).alias("_last"),
+        F.when((inside == 0) & (deep == 1), 1).otherwise(0).alias("_closes"))
+    closed = state.groupBy(*BLOCK).agg(F.sum("_closes").alias("c")).select(*BLOCK, _before("c", along).alias("_runs"))
+    runs = state.join(closed, BLOCK).withColumn("_run", F.col("_runs") + _before("_closes", _exclusive(*BLOCK).orderBy("_at")))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_at", "value")))
+    text = runs.groupBy("_file", "_run").agg(F.min("_block").alias("_block"), F.max("_last").alias("_last"), parts.alias("p"))
+    return text.select("_file", "_block", "_run", "_last", F.concat(
+        F.array_join(F.col("p.value"), "}"), F.when(F.col("_last"), F.lit("")).otherwise(F.lit("}"))).alias("text"))
+
+
 def _array_elements(spark: SparkSession, path: str) -> DataFrame:
     """``record_id``, ``e``: each element of the array files as JSON text, numbered through all files.
 
-    An array file is one value in one task (the format can't be split; 2 GB at most).  Positions
-    go on from file to file in the order of their paths: the counts per file (a row each) are
-    added up in a window over the files.
+    A file is read in many tasks: it is cut after each ``}``, the state of the reader (inside a
+    string or not, depth) is composed over the blocks, and the pieces of an element are put together
+    again (an element, with the elements before it that are no objects, is one value).  Positions go
+    on from block to block and from file to file in the order of their paths: the counts per block
+    (a row each) are added up.  A file that is no array, an empty one included, is an error.
     """
-    from pyspark.sql import Window
-    doc = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_file"), F.from_json("value", "array<string>").alias("a"))
-    per = doc.select("_file", F.size("a").alias("_n"), F.col("a").isNull().alias("_bad"))
-    before = Window.partitionBy().orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    if not per.where("_bad").isEmpty():
+    pieces = _pieces(spark, path)
+    runs = _element_runs(pieces)
+    text = F.regexp_replace("text", r"^\s+|\s+$", "")
+    first, last = F.col("_run") == 0, F.col("_last")
+    core = F.when(~last, text).when(text.endswith("]"), F.substr(text, F.lit(1), F.length(text) - 1))
+    body = F.when(core.startswith(F.when(first, F.lit("[")).otherwise(F.lit(","))), F.substr(core, F.lit(2)))
+    none = last & F.when(first, F.trim(F.regexp_replace(body, r"\s", "")) == "").otherwise(F.regexp_replace(core, r"\s", "") == "")
+    many = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>")
+    found = materialize(runs.select("_file", "_block", "_run", F.when(none, F.array().cast("array<string>")).when(
+        F.regexp_replace(body, r"\s", "") != "", many).alias("a")))
+    if found.where("a IS NULL").limit(1).count() or found.select("_file").distinct().count() < len(
+            spark.read.text(path).inputFiles()):
         raise ValueError("Invalid JSON format: expected a JSON array of records")
-    offs = per.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (doc.join(offs, "_file").select("_off", F.posexplode("a").alias("_pos", "e"))
-            .select((F.col("_off") + F.col("_pos")).cast("bigint").alias("record_id"), "e"))
+    per = found.groupBy(*BLOCK).agg(F.sum(F.size("a")).alias("n"))
+    offs = per.select(*BLOCK, _before("n", _exclusive().orderBy(*BLOCK)).alias("_off"))
+    own = _before(F.size("a"), _exclusive(*BLOCK).orderBy("_run"))
+    return (found.withColumn("_own", own).join(offs, BLOCK).select("_off", "_own", F.posexplode("a").alias("_pos", "e"))
+            .select((F.col("_off") + F.col("_own") + F.col("_pos")).cast("bigint").alias("record_id"), "e"))
 
 
 def scan_flatten_validate(spark: SparkSession, path: str, fmt: str = "json_array"):
