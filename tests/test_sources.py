@@ -147,3 +147,11 @@ def test_files_that_are_no_arrays(spark, tmp_dir, text):
     write(tmp_dir, "bad.json", text)
     with pytest.raises(ValueError):
         R._array_elements(spark, os.path.join(tmp_dir, "*.json"))
+
+
+def test_array_records_are_parsed_once(spark, tmp_dir):
+    """Records and rejects read what was parsed; a filter on them doesn't parse again."""
+    recs, rejects = R.scan_flatten_validate(spark, write(tmp_dir, "once.json", json.dumps(RECS)))
+    for df in (recs, rejects):
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert recs.count() == 2 and rejects.count() == 4

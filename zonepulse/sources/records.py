@@ -98,18 +98,19 @@ def _element_runs(pieces: DataFrame) -> DataFrame:
     Blocks hand on their state in a table of one row a block: first the parity of quotes, then the
     depth that goes with it, then the number of closed objects.
     """
-    blocks = pieces.groupBy(*BLOCK).agg(F.sum("_odd").alias("o"), F.sum("_s0").alias("s0"), F.sum("_s1").alias("s1"))
+    blocks = pieces.groupBy(*BLOCK).agg(F.sum("_odd").alias("o"), F.sum("_s0").alias("s0"), F.sum("_s1").alias("s1"), F.max("_at").alias("_top"))
     along = _exclusive("_file").orderBy("_block")
     blocks = blocks.withColumn("_in", _before("o", along) % 2).withColumn(
         "s", F.when(F.col("_in") == 0, F.col("s0")).otherwise(F.col("s1")))
-    start = blocks.select(*BLOCK, "_in", _before("s", along).alias("_from"))
-    ends = pieces.groupBy("_file").agg(F.max(F.struct("_block", "_at")).alias("_end"))
+    end = F.max(F.struct("_block", "_top")).over(Window.partitionBy("_file"))
+    # a row a block: it goes to the pieces, whose texts are many, and not they to it
+    start = F.broadcast(materialize(blocks.select(*BLOCK, "_in", _before("s", along).alias("_from"), end.alias("_end"))))
     inside = (F.col("_in") + F.col("_turns") + F.col("_odd")) % 2           # after the piece
     deep = F.col("_from") + F.when(F.col("_in") == 0, F.col("_deep0") + F.col("_s0")).otherwise(F.col("_deep1") + F.col("_s1"))
-    state = pieces.join(start, BLOCK).join(ends, "_file").select(
+    state = pieces.join(start, BLOCK).select(
         *BLOCK, "_at", "value", (F.struct("_block", "_at") == F.col("_end")).alias("_last"),
         F.when((inside == 0) & (deep == 1), 1).otherwise(0).alias("_closes"))
-    closed = state.groupBy(*BLOCK).agg(F.sum("_closes").alias("c")).select(*BLOCK, _before("c", along).alias("_runs"))
+    closed = F.broadcast(state.groupBy(*BLOCK).agg(F.sum("_closes").alias("c")).select(*BLOCK, _before("c", along).alias("_runs")))
     runs = state.join(closed, BLOCK).withColumn("_run", F.col("_runs") + _before("_closes", _exclusive(*BLOCK).orderBy("_at")))
     parts = F.array_sort(F.collect_list(F.struct("_block", "_at", "value")))
     text = runs.groupBy("_file", "_run").agg(F.min("_block").alias("_block"), F.max("_last").alias("_last"), parts.alias("p"))
@@ -174,11 +175,12 @@ def scan_flatten_validate(spark: SparkSession, path: str, fmt: str = "json_array
                .when(F.col("record_id").isNull(), F.lit("missing_id"))
                .when(lat.isNull() | lon.isNull() | iso.isNull(), F.lit("missing_field"))
                .when(parse_time(iso).isNull(), F.lit("bad_time")))
-    tagged = parsed.withColumn("_reason", reason)
-    records = tagged.filter(F.col("_reason").isNull()).select(
+    # written once: a filter on what was parsed would parse again, for each field it looks at
+    tagged = materialize(parsed.select(
         lat.alias("latitude"), lon.alias("longitude"), iso.alias("iso_date"),
         F.col("r.dateInSeconds").alias("date_seconds"), "record_id",
-        parse_time(iso).alias("datetime"))
+        parse_time(iso).alias("datetime"), reason.alias("_reason")))
+    records = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     rejects = tagged.filter(F.col("_reason").isNotNull()).select(
         "record_id", F.col("_reason").alias("reason"))
     if records.limit(1).count() == 0:
