@@ -378,6 +378,38 @@ def test_asking_texts_come_in_blocks_of_fixed_size(spark):
     assert N._candidates(N._sets(named, 1), 80).count() == 30
 
 
+@pytest.mark.parametrize("load", [2000, 1 << 18])
+def test_loose_cluster_makes_no_row_a_pair(spark, monkeypatch, load):
+    """Texts of one template's words, most pairs below 0.8: the join's pairs grow with the texts, and no link is lost."""
+    from zonepulse.llm import near_dedup as N
+    monkeypatch.setattr(N, "LOAD", load)
+    rng, made = random.Random(5), {}
+    for m in (200, 400):
+        texts = [sorted(rng.sample(range(100), rng.randint(70, 85))) for _ in range(m)]
+        ids = [i.to_bytes(16, "big") for i in range(m)]
+        rows = [(c, b"c", c, i % 2, i % 10 > 0, " ".join(f"t{w}" for w in t)) for i, (c, t) in enumerate(zip(ids, texts))]
+        sets = N._sets(spark.createDataFrame(rows, "cls binary, cluster binary, label binary, chunk int, asks boolean, text string"), 1)
+        made[m] = N._candidates(sets, 80).count()
+        parent = list(range(m))
+
+        def top(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+        want, own = list(range(m)), [set(t) for t in texts]
+        for i in range(m):
+            for j in range(i):
+                if (i % 10 or j % 10) and 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j]):
+                    parent[max(top(i), top(j))] = min(top(i), top(j))
+        want = {frozenset(i for i in range(m) if top(i) == k) for k in {top(i) for i in range(m)}}
+        parent = list(range(m))
+        for r in N._confirm_rest(sets, 80).collect():
+            a, b = top(int.from_bytes(r["a"], "big")), top(int.from_bytes(r["b"], "big"))
+            parent[max(a, b)] = min(a, b)
+        assert 1 < len(want) and {frozenset(i for i in range(m) if top(i) == k) for k in {top(i) for i in range(m)}} == want
+    assert made[400] <= 3 * made[200] + 400
+
+
 def test_one_of_each(messy):
     from zonepulse.llm.near_dedup import near_duplicates, one_of_each
     kept = sorted(map(str, (r["doc_id"] for r in near_duplicates(messy[1]).where("kept").collect())))

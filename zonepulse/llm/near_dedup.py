@@ -21,7 +21,9 @@
    Texts that a chunk did not join to the cluster's largest component ask on: an
    equi-join on rare shingles (prefix filter with sizes and places, exact) finds
    whom they can be near to, and blocks of at most about ``ASKS`` asking texts and
-   one chunk are compared on their shingle hashes.  Only joining links leave a
+   one chunk are compared on their shingle hashes.  A shingle that leads more than
+   ``HOLDERS`` texts is not joined on, since its pairs grow with the square of their number:
+   its texts are compared whole, in blocks of about ``LOAD`` shingles.  Only joining links leave a
    task, never all pairs of a group.
 
 Two texts above the threshold are missed only if no chain of candidates puts
@@ -62,6 +64,8 @@ PIVOTS = 8
 ASKS = 128              # asking texts in a block
 COUNTED = 256           # classes of a cluster on which shingles are counted, to order them
 COMMON = 512            # shingles known to be common in a cluster
+HOLDERS = 32            # texts that a shingle leads, beyond which it is not joined on
+LOAD = 1 << 18          # shingles in a block of the texts that are compared whole
 CELL_BITS = 20
 KNOWN_WORDS = 1 << 16
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
@@ -221,11 +225,13 @@ def neighbours(entries: DataFrame, width: int = WIDTH, deep: int = CROWDED) -> D
 
 
 def _dense_edges(dense: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: all pairs of the ``dense`` classes of different ties that may be near, by the exact prefix filter."""
+    """a, b: pairs of the ``dense`` classes of different ties, by the exact prefix filter: all that are near are tied."""
     named = _with_texts(classes.join(dense.select(F.col("a").alias("cls")), "cls", "left_semi").select("cls", "key", "tie"), texts)
     named = named.select("cls", F.unhex(F.lit("")).alias("cluster"), F.col("tie").alias("label"), F.lit(0).alias("chunk"), F.lit(True).alias("asks"), "text")
-    pairs = _candidates(scratch_table(_sets(named, width), "near_dense"), percent)
-    return scratch_table(pairs.select(F.col("q").alias("a"), F.col("o").alias("b")), "near_dense_edges")
+    sets = scratch_table(_sets(named, width), "near_dense")
+    led = _led(sets, percent)
+    pairs = _candidates(sets, percent, led).select(F.col("q").alias("a"), F.col("o").alias("b"))
+    return scratch_table(pairs.union(_confirm_crowded(sets, percent, led)), "near_dense_edges")
 
 
 def _merged(known: DataFrame, edges: DataFrame) -> DataFrame:
@@ -357,14 +363,23 @@ def _heads(sets: DataFrame, percent: int) -> DataFrame:
     return scratch_table(wide.mapInArrow(run, "cls binary, cluster binary, label binary, asks boolean, n bigint, least bigint, i bigint, h bigint"), "near_heads")
 
 
-def _candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """cluster, q, o: asking classes and classes of other components that may be near them; no near pair is left out.
+def _led(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The ``_heads`` of the sets, and the crowded shingles (cluster, h): those that lead more than ``HOLDERS`` sets and may join two of them."""
+    heads = _heads(sets, percent)
+    per = heads.groupBy("cluster", "h").agg(F.count(F.lit(1)).alias("held"), F.max("asks").alias("asks"), F.max(F.col("i") < F.col("least")).alias("first"),
+                                            F.min("label").alias("low"), F.max("label").alias("high"))
+    return heads, scratch_table(per.where(F.col("held") > HOLDERS).where("asks AND first AND low <> high").select("cluster", "h"), "near_crowded")
 
-    In each cluster the shingles stand in one order, the commonest last.  Of two sets that are near enough, the smaller
+
+def _candidates(sets: DataFrame, percent: int, led: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """cluster, q, o: asking classes and classes of other components that may be near them by a shingle that is not crowded.
+
+    No near pair is left out but those that crowded shingles alone join (``_confirm_crowded``).  In each cluster the shingles stand in one order, the commonest last.  Of two sets that are near enough, the smaller
     has one of its first n - 2tn/(1+t) + 1 shingles among the larger one's first n - tn + 1, and the
     places of the first one they share leave room for the overlap needed.  Any order is exact; a good one gives few pairs.
     """
-    p, heads = F.lit(percent), _heads(sets, percent)
+    heads, crowded = led or _led(sets, percent)
+    p, heads = F.lit(percent), heads.join(crowded, ["cluster", "h"], "left_anti")
     side = lambda t: heads.select("cluster", "h", *[F.col(c).alias(f"{t}_{c}") for c in ("cls", "label", "asks", "n", "least", "i")])
     room = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
     pairs = (side("x").where("x_i < x_least").join(side("y"), ["cluster", "h"])
@@ -375,8 +390,46 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("cluster", asking("x_cls", "y_cls").alias("q"), asking("y_cls", "x_cls").alias("o")).distinct()
 
 
+def _confirm_crowded(sets: DataFrame, percent: int, led: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """a, b: classes of different labels, tying all that are near and led by the same crowded shingle.
+
+    Texts that share one, directly or by others, are a group.  Its asking texts and all its texts are dealt to blocks of about
+    ``LOAD`` shingles, and each block of the ones meets each of the others in a task.  A task's links are no more than its labels.
+    """
+    def run(pdf):
+        import pandas as pd
+        ids, own = list(pdf["cls"]), [np.asarray(h, np.int64).view(np.uint64) for h in pdf["h"]]
+        label, first = pd.factorize(pdf["label"])[0], {}
+        for x, at in enumerate(label):
+            first.setdefault(at, ids[x])
+        root = label.copy()
+        for _, near in _similar(own, np.flatnonzero(pdf["asked"].to_numpy()), percent):
+            if len(near) and (root[near] != root[near[0]]).any():
+                root[np.isin(root, root[near])] = root[near].min()
+        tied = sorted({(r, at) for r, at in zip(root.tolist(), label.tolist()) if r != at})
+        return pd.DataFrame({"a": [first[r] for r, _ in tied], "b": [first[at] for _, at in tied]})
+
+    heads, crowded = led
+    if crowded.isEmpty():
+        return heads.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
+    shingle = F.concat("cluster", F.encode(F.concat(F.lit("h"), F.lpad(F.hex("h"), 16, "0")), "UTF-8"))        # no class is as long
+    holders = heads.join(crowded, ["cluster", "h"]).select(F.col("cls").alias("a"), shingle.alias("b"))
+    group = scratch_table(components(holders).select(F.col("node").alias("cls"), F.col("label").alias("group"))
+                          .join(sets.select("cls", "label", "asks", "n"), "cls"), "near_crowds")
+    load = lambda c: F.ceil(F.sum(c) / LOAD).cast("int")
+    loads = group.groupBy("group").agg(load(F.when(F.col("asks"), F.col("n"))).alias("asking"), load("n").alias("others"))
+    dealt = group.join(scratch_table(loads.where("asking > 0"), "near_loads"), "group")
+    place = lambda c: F.pmod(F.xxhash64("cls"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asked = dealt.where("asks").select("group", "cls", place("asking").alias("block"), every("others").alias("other"), F.lit(True).alias("asked"))
+    met = dealt.select("group", "cls", every("asking").alias("block"), place("others").alias("other"), F.lit(False).alias("asked"))
+    members = asked.union(met).groupBy("group", "block", "other", "cls").agg(F.max("asked").alias("asked"))
+    members = scratch_table(members, "near_crowds_met").join(sets.select("cls", "label", "h"), "cls")
+    return members.groupBy("group", "block", "other").applyInPandas(run, "a binary, b binary")
+
+
 def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links between asking classes and classes of other components of their cluster."""
+    """a, b: links between asking classes and classes of other components of their cluster, each named by any of its classes."""
     def run(pdf):
         import pandas as pd
         ids, labels = list(pdf["cls"]), list(pdf["label"])
@@ -387,7 +440,8 @@ def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
             out |= {(labels[q], labels[x]) for x in near if labels[x] != labels[q]}
         return pd.DataFrame(sorted(out), columns=["a", "b"])
 
-    found = scratch_table(_candidates(sets, percent), "near_candidates")
+    led = _led(sets, percent)
+    found = scratch_table(_candidates(sets, percent, led), "near_candidates")
     counts = sets.where("asks").groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / ASKS).alias("blocks"))
     at = sets.select(F.col("cls").alias("o"), "chunk")
     dealt = (found.join(scratch_table(counts, "near_asking"), "cluster").join(at, "o")
@@ -396,7 +450,8 @@ def _confirm_rest(sets: DataFrame, percent: int) -> DataFrame:
     members = [dealt.select("cluster", "block", "chunk", F.col(c).alias("cls"), F.lit(c == "q").alias("asked")) for c in "qo"]
     members = (members[0].union(members[1]).groupBy("cluster", "block", "chunk", "cls").agg(F.max("asked").alias("asked"))
                .join(sets.select("cls", "label", "h"), "cls"))
-    return members.groupBy("cluster", "block", "chunk").applyInPandas(run, "a binary, b binary")
+    links = members.groupBy("cluster", "block", "chunk").applyInPandas(run, "a binary, b binary")
+    return links.union(_confirm_crowded(sets, percent, led))
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, chunk: int = CHUNK, keyed: bool = False) -> DataFrame:
